@@ -72,4 +72,6 @@ def zero_div(a: Column, b: Column) -> Column:
 
 def fmt1(c: Column) -> Column:
     """Number -> text with one decimal place, as '%.1f' (null -> 'nan')."""
-    return F.coalesce(F.format_string("%.1f", c.cast("double")), F.lit("nan"))
+    d = c.cast("double")
+    # Java formats a null argument as 'null' cut to the precision ('n'), so test first
+    return F.when(d.isNull(), F.lit("nan")).otherwise(F.format_string("%.1f", d))
