@@ -43,6 +43,14 @@ def pair_blocks(
     return lx.groupBy("_lb", "_rb").cogroup(rx.groupBy("_lb", "_rb")).applyInPandas(fn, schema)
 
 
+_NP = {"long": np.int64, "int": np.int32, "double": np.float64, "float": np.float32, "boolean": bool}
+
+
+def empty_frame(schema) -> pd.DataFrame:
+    """A zero-row pandas frame whose dtypes match a Spark schema (Arrow-safe)."""
+    return pd.DataFrame({f.name: np.array([], dtype=_NP.get(f.dataType.simpleString(), object)) for f in schema.fields})
+
+
 def as_matrix(series: pd.Series) -> np.ndarray:
     """A pandas column of equal-length arrays -> 2-D float64 matrix."""
     if len(series) == 0:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablight.functions.blocks import as_matrix, pair_blocks, sq_distances
+from tablight.functions.blocks import as_matrix, empty_frame, pair_blocks, sq_distances
 
 NEIGHBOR_SCHEMA = T.StructType(
     [
@@ -35,10 +35,16 @@ NEIGHBOR_SCHEMA = T.StructType(
 )
 
 
+def is_vector(df: DataFrame, name: str) -> bool:
+    from pyspark.ml.linalg import VectorUDT
+
+    return isinstance(df.schema[name].dataType, VectorUDT)
+
+
 def as_array(col: str | Column, df: DataFrame) -> Column:
     """A vector or numeric-array column as array<double>."""
     name = col if isinstance(col, str) else None
-    if name and df.schema[name].dataType.typeName() == "vector":
+    if name and is_vector(df, name):
         return vector_to_array(F.col(name))
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("array<double>")
@@ -47,7 +53,7 @@ def as_array(col: str | Column, df: DataFrame) -> Column:
 def _kernel(k: int, exclude_self: bool, use_folds: bool):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
-            return pd.DataFrame({f.name: [] for f in NEIGHBOR_SCHEMA.fields})
+            return empty_frame(NEIGHBOR_SCHEMA)
         Q, Tm = as_matrix(q["vec"]), as_matrix(t["vec"])
         qk = q["key"].to_numpy(np.int64)
         tk = t["key"].to_numpy(np.int64)
@@ -69,7 +75,7 @@ def _kernel(k: int, exclude_self: bool, use_folds: bool):
                 out_d.append(row[order])
                 out_l.append(tl[order])
         if not out_q:
-            return pd.DataFrame({f.name: [] for f in NEIGHBOR_SCHEMA.fields})
+            return empty_frame(NEIGHBOR_SCHEMA)
         return pd.DataFrame(
             {
                 "qkey": np.concatenate(out_q),

@@ -342,3 +342,57 @@ SELECT 'customer', c_custkey, c_name, c_nationkey, round(c_acctbal, 6), c_mktseg
 UNION ALL
 SELECT 'supplier', s_suppkey, s_name, s_nationkey, round(s_acctbal, 6), NULL FROM supplier""",
 }
+
+
+# ---------------------------------------------------------------------------
+# learning operators with an exact SQL equivalent
+# ---------------------------------------------------------------------------
+
+_HASH_SPLIT = "CASE WHEN substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8) < '33333333' THEN 'test' ELSE 'train' END"
+_D2 = "list_sum(list_transform(list_zip({a}, {b}), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) ^ 2))"
+
+
+def _prepare_sql() -> str:
+    feats = [("income", "income"), ("balance", "balance"), ("age", "age")]
+    for c, levels in ONE_HOT_LEVELS.items():
+        for v in levels:
+            feats.append((f"{c}_{v}", f"CAST(CASE WHEN {c} = {q(v)} THEN 1 ELSE 0 END AS DOUBLE)"))
+    wide = ",\n  ".join(f'{e} AS "{n}"' for n, e in feats)
+    scaled = ",\n  ".join(
+        f'round(("{n}" - avg(CASE WHEN split = \'train\' THEN "{n}" END) OVER ()) / '
+        f'coalesce(nullif(stddev_pop(CASE WHEN split = \'train\' THEN "{n}" END) OVER (), 0), 1), 6) AS "{n}"'
+        for n, _ in feats
+    )
+    return with_clean(
+        f"SELECT row_id, split, label,\n  {scaled}\nFROM w",
+        f"w AS (SELECT row_id, fraud AS label, {_HASH_SPLIT.format(k='row_id')} AS split,\n  {wide}\nFROM clean)",
+    )
+
+
+_EMB_PAIRS = f"""e AS (SELECT vec_id, embedding, label, {_HASH_SPLIT.format(k='vec_id')} AS split FROM embeddings),
+d AS (
+  SELECT q.vec_id AS qid, t.vec_id AS tid, t.label AS tlabel, {_D2.format(a='q.embedding', b='t.embedding')} AS d2
+  FROM e q JOIN e t ON q.split = 'test' AND t.split = 'train'),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) - 1 AS rank FROM d)"""
+
+SQL_MODELS: dict[str, str] = {
+    "prepare_supervised_survey": _prepare_sql(),
+    "knn_neighbors_embeddings": f"""WITH {_EMB_PAIRS}
+SELECT qid AS vec_id, CAST(rank AS INTEGER) AS rank, tid AS neighbor_id FROM r WHERE rank < 5""",
+    "knn_embeddings": f"""WITH {_EMB_PAIRS},
+v AS (SELECT qid, tlabel, count(*) AS n FROM r WHERE rank < 5 GROUP BY qid, tlabel),
+w AS (SELECT qid, tlabel, row_number() OVER (PARTITION BY qid ORDER BY n DESC, tlabel) AS pos FROM v)
+SELECT e.vec_id, e.label, w.tlabel AS prediction FROM e JOIN w ON w.qid = e.vec_id AND w.pos = 1
+WHERE e.split = 'test'""",
+    "silhouette_embeddings_labels": f"""WITH p AS (
+  SELECT a.vec_id AS i, a.label AS ci, b.label AS cj, sqrt({_D2.format(a='a.embedding', b='b.embedding')}) AS d
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+m AS (SELECT i, ci, cj, avg(d) AS md FROM p GROUP BY i, ci, cj),
+ab AS (SELECT i, max(CASE WHEN ci = cj THEN md END) AS a, min(CASE WHEN ci <> cj THEN md END) AS b FROM m GROUP BY i),
+s AS (SELECT CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END AS s FROM ab)
+SELECT round(avg(s), 6) AS silhouette FROM s""",
+    "dbscan_neighbors_embeddings": f"""WITH p AS (
+  SELECT a.vec_id, {_D2.format(a='a.embedding', b='b.embedding')} AS d2 FROM embeddings a CROSS JOIN embeddings b)
+SELECT vec_id, count_if(d2 <= 1.15 * 1.15) AS n_neighbors, count_if(d2 <= 1.15 * 1.15) >= 5 AS is_core
+FROM p GROUP BY vec_id""",
+}

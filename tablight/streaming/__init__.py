@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming forms of the cleaning and scoring path."""
