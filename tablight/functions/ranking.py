@@ -6,8 +6,12 @@ spans several partitions), each partition is sorted locally, and per-partition
 totals -- one small row per (partition, group) -- give every partition its
 offset. The offsets table is tiny and joins back cheaply.
 
-The ordering must be total (end it with a unique key) so that recomputing a
-lost partition yields the same ranks.
+The ordering must be total (end it with a unique key). The range-partitioned,
+id-stamped rows are written once with a reliable ``checkpoint()`` (to the
+cluster's checkpoint folder): the offsets and the rows then read the same
+partitions, even when the input order -- and so the sampled range bounds --
+would differ between two evaluations, and a lost executor re-reads the
+checkpoint instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablight.session import ensure_checkpoint_dir
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -39,6 +45,8 @@ def global_rank(
     r = df.repartitionByRange(n, *parts, *order).sortWithinPartitions(*parts, *order)
     r = r.withColumn("_mid", F.monotonically_increasing_id())
     r = r.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    ensure_checkpoint_dir(df.sparkSession)
+    r = r.checkpoint()
     counts = r.groupBy("_pid", *partition_cols).agg(
         F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_first")
     )
@@ -63,7 +71,8 @@ def running_sums(
     sees more than one range), and adds the totals of all earlier partitions.
     """
     n = _n_parts(df, num_partitions)
-    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
     totals = r.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(

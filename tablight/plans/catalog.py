@@ -206,6 +206,31 @@ def q_append_rows_parties(spark, sf):
     return r6(leaderboard.append_rows(c, s))
 
 
+def q_relabel_survey(spark, sf):
+    from tablight.plans.survey import LABEL_NAMES
+
+    lab = features.relabel(_clean(spark, sf), "fraud", LABEL_NAMES, out="fraud_status")
+    return lab.groupBy("fraud_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_filter_rows_orders(spark, sf):
+    o = table(spark, sf, "orders")
+    kept = o.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 100000.0))
+    return r6(kept.select("o_orderkey", "o_custkey", "o_totalprice"))
+
+
+def q_before_after_area(spark, sf):
+    return profile.before_after_counts(dirty_survey(spark, sf), _clean(spark, sf), "area", numeric=False)
+
+
+def q_describe_survey(spark, sf):
+    return r6(profile.describe_numeric(_clean(spark, sf), SURVEY_NUMERIC))
+
+
+def q_box_stats_survey(spark, sf):
+    return r6(profile.box_stats(_clean(spark, sf), "income", by="fraud"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_survey": q_clean_survey,
     "table_shapes": q_table_shapes,
@@ -239,4 +264,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_row_part": q_best_row_part,
     "sort_results_supplier": q_sort_results_supplier,
     "append_rows_parties": q_append_rows_parties,
+    "relabel_survey": q_relabel_survey,
+    "filter_rows_orders": q_filter_rows_orders,
+    "before_after_area": q_before_after_area,
+    "describe_survey": q_describe_survey,
+    "box_stats_survey": q_box_stats_survey,
 }

@@ -211,6 +211,17 @@ c AS (
 t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g)"""
 
 
+def _describe_survey_sql() -> str:
+    parts = [
+        f"""SELECT '{c}' AS col_name, count({c}) AS count, round(avg({c}), 6) AS mean,
+  round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min,
+  round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS median,
+  round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM clean"""
+        for c in ("income", "balance", "age")
+    ]
+    return with_clean("\nUNION ALL\n".join(parts))
+
+
 SQL: dict[str, str] = {
     "clean_survey": with_clean(
         """SELECT row_id, round(income, 6) AS income, area, employed, education, home_owner, gender,
@@ -335,6 +346,33 @@ FROM events GROUP BY user_id ORDER BY sum(value) DESC, user_id LIMIT 10""",
 ORDER BY p_retailprice DESC, p_partkey LIMIT 1""",
     "sort_results_supplier": """SELECT s_suppkey, s_name, round(s_acctbal, 6) AS s_acctbal FROM supplier
 ORDER BY s_acctbal DESC""",
+    "relabel_survey": with_clean(
+        """SELECT CASE fraud WHEN 0.0 THEN 'Not Fraud' WHEN 1.0 THEN 'Fraud' END AS fraud_status, count(*) AS n
+FROM clean GROUP BY 1"""
+    ),
+    "filter_rows_orders": """SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders
+WHERE o_orderstatus = 'F' AND o_totalprice > 100000.0""",
+    "before_after_area": with_clean(
+        """SELECT b.value, b.n_before, coalesce(a.n_after, 0) AS n_after
+FROM b LEFT JOIN a ON a.value = b.value""",
+        """b AS (SELECT coalesce(area, 'nan') AS value, count(*) AS n_before FROM d GROUP BY 1),
+a AS (SELECT coalesce(area, 'nan') AS value, count(*) AS n_after FROM clean GROUP BY 1)""",
+    ),
+    "describe_survey": _describe_survey_sql(),
+    "box_stats_survey": with_clean(
+        """SELECT CAST(f.grp AS VARCHAR) AS grp, f.n, round(f.q1, 6) AS q1, round(f.med, 6) AS median, round(f.q3, 6) AS q3,
+  round(f.q3 - f.q1, 6) AS iqr,
+  round(min(CASE WHEN c.income >= f.lo_f THEN c.income END), 6) AS whisker_lo,
+  round(max(CASE WHEN c.income <= f.hi_f THEN c.income END), 6) AS whisker_hi,
+  count_if(c.income < f.lo_f OR c.income > f.hi_f) AS n_outliers
+FROM clean c JOIN f ON c.fraud = f.grp
+GROUP BY f.grp, f.n, f.q1, f.med, f.q3""",
+        """qs AS (
+  SELECT fraud AS grp, count(*) AS n, quantile_cont(income, 0.25) AS q1, quantile_cont(income, 0.5) AS med,
+    quantile_cont(income, 0.75) AS q3
+  FROM clean GROUP BY fraud),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM qs)""",
+    ),
     "append_rows_parties": """SELECT 'customer' AS kind, c_custkey AS party_key, c_name AS name, c_nationkey AS nationkey,
   round(c_acctbal, 6) AS acctbal, NULL::VARCHAR AS segment FROM customer WHERE false
 UNION ALL
