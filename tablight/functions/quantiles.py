@@ -207,25 +207,37 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     """{column: most frequent non-null value}, ties -> the lowest value.
 
-    Value counts are a distributed aggregate per (column, value); the winner
-    per column is ``min_by(value, (-count, value))`` so the final step is an
-    ordinary partial/final aggregate. Columns are stacked by data type so the
-    tie-break compares values in their own type.
+    One distributed job for all columns: every row is stacked into
+    (column, value) entries whose value sits in a field of its own type
+    (integral, fractional or text), value counts are a partial/final
+    aggregate, and the winner per column is ``min_by(value, (-count, value))``
+    -- an ordinary aggregate, compared in the column's own type.
     """
     out: dict = {c: None for c in cols}
-    by_type: dict[str, list[str]] = {}
+    if not cols:
+        return out
+    kinds = {}
+    for c in cols:
+        t = df.schema[c].dataType
+        kinds[c] = "l" if isinstance(t, T.IntegralType) else "d" if isinstance(t, T.FractionalType) else "s"
+    entries = []
     for c in cols:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    for _, group in by_type.items():
-        stacked = df.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("c"), F.col(quoted(c)).alias("v")) for c in group])
-            ).alias("_s")
-        ).select(F.col("_s.c").alias("c"), F.col("_s.v").alias("v"))
-        counts = stacked.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        best = counts.groupBy("c").agg(
-            F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("mode")
+        v = F.col(quoted(c))
+        entries.append(
+            F.struct(
+                F.lit(c).alias("c"),
+                (v.cast("long") if kinds[c] == "l" else F.lit(None).cast("long")).alias("l"),
+                (v.cast("double") if kinds[c] == "d" else F.lit(None).cast("double")).alias("d"),
+                (v.cast("string") if kinds[c] == "s" else F.lit(None).cast("string")).alias("s"),
+                v.isNull().alias("null"),
+            )
         )
-        for r in best.collect():
-            out[r["c"]] = r["mode"]
+    stacked = df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").where(~F.col("null"))
+    counts = stacked.groupBy("c", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("c").agg(
+        F.min_by(F.struct("l", "d", "s"), F.struct((-F.col("n")).alias("nn"), "l", "d", "s")).alias("m")
+    )
+    for r in best.collect():
+        m = r["m"]
+        out[r["c"]] = m[{"l": 0, "d": 1, "s": 2}[kinds[r["c"]]]]
     return out

@@ -68,7 +68,15 @@ def drop_unnamed(df: DataFrame) -> DataFrame:
 def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> str:
     """Header CSV sink. ``single_file`` is for small report tables only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    (
+        out.write.mode(mode)
+        .option("header", True)
+        .option("emptyValue", "")
+        # the writer trims blanks by default; values like 'White ' must survive
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
