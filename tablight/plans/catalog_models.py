@@ -181,7 +181,9 @@ def q_cluster_projection_survey(spark, sf):
 
 def q_clustering_leaderboard_survey(spark, sf):
     p = _prep_unsup(spark, sf)
-    res = pipelines.clustering_benchmark(p, "row_id", 3, 6, eps_list=[0.7], min_samples=[4], min_clusters=1)
+    res = pipelines.clustering_benchmark(
+        p, "row_id", 3, 6, eps_list=[0.7], min_samples=[4], min_clusters=1, drop_noise=False, stability_seeds=[0, 1, 2, 3, 4]
+    )
     return r6(res["leaderboard"])
 
 
@@ -206,21 +208,20 @@ def q_confusion_mlp_embeddings(spark, sf):
 
 
 def q_experiment_grid_embeddings(spark, sf):
+    """One row per (batch size, learning rate) setting of the perceptron."""
+    from tablight.operators.features import config_label
+
     e = _emb_vectors(spark, sf).persist()
     train, test = e.where("split = 'train'"), e.where("split = 'test'")
 
     def run(cfg):
-        m = classifiers.mlp(64, 10, cfg["hidden"], cfg["max_iter"], 42, block_size=cfg["batch_size"]).fit(train)
-        tr = evaluate.accuracy(m.transform(train))
-        va = evaluate.accuracy(m.transform(test))
-        return tr, va
-
-    configs = [
-        {"hidden": h, "batch_size": b, "max_iter": 30}
-        for h in ((128,), (256, 128))
-        for b in (32, 128)
-    ]
-    table_df, _best = tune.experiment_grid(spark, configs, run)
+        m = classifiers.mlp(64, 10, (128,), 30, 42, block_size=cfg["batch_size"], learning_rate=cfg["learning_rate"]).fit(train)
+        return evaluate.accuracy(m.transform(train)), evaluate.accuracy(m.transform(test))
+
+    configs = [{"batch_size": b, "learning_rate": lr} for b in (32, 128) for lr in (0.01, 0.1)]
+    table_df, _best = tune.experiment_grid(
+        spark, configs, run, label=lambda c: config_label("MLP", c["batch_size"], c["learning_rate"])
+    )
     return leaderboard.sort_results(table_df.select("setting", "accuracy", "validation_accuracy"), "validation_accuracy")
 
 
@@ -238,7 +239,7 @@ QUERIES = {
     "decision_tree_survey": _model_query("Decision Tree"),
     "knn_survey": _model_query("KNN"),
     "svm_rbf_survey": _model_query("SVM"),
-    "gradient_boosting_survey": _model_query("XGBoost"),
+    "gradient_boosting_survey": _model_query("Gradient Boosting"),
     "supervised_leaderboard_survey": q_supervised_leaderboard_survey,
     "feature_importance_survey": q_feature_importance_survey,
     "cross_val_logreg_survey": q_cross_val_logreg_survey,

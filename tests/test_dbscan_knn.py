@@ -105,3 +105,22 @@ def test_silhouette_matches_brute_force(spark):
     got2 = silhouette(df, "v", "c", "id", drop_noise=True, block_rows=25)
     keep = lab != -1
     assert abs(got2 - brute_silhouette(X[keep], lab[keep])) < 1e-9
+
+
+def test_dbscan_search_picks_valid_setting(spark):
+    X, keys = _points(n=120, d=2, seed=9)
+    pdf = pd.DataFrame({"row_id": keys, "features": [list(map(float, r)) for r in X]})
+    df = spark.createDataFrame(pdf, "row_id long, features array<double>")
+    from tablight.operators.dbscan import dbscan_search, eps_grid
+
+    eps = eps_grid(0.3, 1.1, 0.2)
+    assert eps == [0.3, 0.5, 0.7, 0.9]
+    best = dbscan_search(df, eps, [3, 5], "features", "row_id", min_clusters=2, drop_noise=True, block_rows=50)
+    tried = best["tried"].collect()
+    assert len(tried) == 8
+    valid = [t for t in tried if t["silhouette"] is not None]
+    assert valid and all(t["has_outliers"] and t["n_clusters"] >= 2 for t in valid)
+    top = max(t["silhouette"] for t in valid)
+    assert best["silhouette"] == top
+    first = next(t for t in tried if t["silhouette"] == top)
+    assert (best["eps"], best["min_samples"]) == (first["eps"], first["min_samples"])
