@@ -79,23 +79,28 @@ def exact_quantiles(
     value: str | Column,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    bracket_limit: int = 100_000,
+    bracket_limit: int = 1_000_000,
     buckets: int = 4096,
     max_targets: int = 20_000,
     max_rounds: int = 64,
+    stats: Sequence[dict] | None = None,
 ) -> list[dict]:
     """Exact linear-interpolated quantiles of ``value`` per group.
 
     Returns one dict per (group, prob): ``{"group": tuple, "prob": p,
     "value": q, "n": count}``; nulls and NaNs are skipped as pandas does.
+    ``stats`` may supply each group's ``_n``, ``_mn``, ``_mx`` (and the group
+    columns ``_g0``...) from an aggregate the caller already runs.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     data, gcols = _prepare(df, value, by)
     gschema = T.StructType([data.schema[g] for g in gcols]) if gcols else None
-    stats = data.groupBy(*gcols).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")
-    ).collect()
+    if stats is None:
+        stats = data.groupBy(*gcols).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")
+        ).collect()
+    stats = [r for r in stats if r["_n"]]
     if len(stats) * len(probs) * 2 > max_targets:
         raise TooManyGroups(
             f"{len(stats)} groups x {len(probs)} quantiles exceed max_targets={max_targets}; "
@@ -184,15 +189,37 @@ def quantile_table(
     return res
 
 
-def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> dict:
+def numeric_guard(c: Column) -> Column:
+    """The value as double, NaN treated as missing (pandas skips both)."""
+    d = c.cast("double")
+    return F.when(~F.isnan(d), d)
+
+
+def column_stats_aggs(cols: Sequence[str]) -> list[Column]:
+    """count / min / max per column, to be run inside a caller's aggregate and
+    handed to ``column_quantiles(stats=...)``."""
+    out = []
+    for c in cols:
+        v = numeric_guard(F.col(quoted(c)))
+        out += [F.count(v).alias(f"_n__{c}"), F.min(v).alias(f"_mn__{c}"), F.max(v).alias(f"_mx__{c}")]
+    return out
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], stats_row=None, **kw) -> dict:
     """{column: {prob: value}} for several numeric columns in one pass per round.
 
     The columns are stacked into (name, value) rows so one set of distributed
-    aggregates serves all of them.
+    aggregates serves all of them. ``stats_row`` is a collected row holding the
+    ``column_stats_aggs`` results, which saves the counting pass.
     """
     cols = list(cols)
     if not cols:
         return {}
+    if stats_row is not None:
+        kw["stats"] = [
+            {"_g0": c, "_n": stats_row[f"_n__{c}"], "_mn": stats_row[f"_mn__{c}"], "_mx": stats_row[f"_mx__{c}"]}
+            for c in cols
+        ]
     stacked = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("c"), F.col(quoted(c)).cast("double").alias("v")) for c in cols])

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablight.functions.columns import col_of, lookup, quoted, to_double
-from tablight.functions.quantiles import column_modes, column_quantiles
+from tablight.functions.quantiles import column_modes, column_quantiles, column_stats_aggs, numeric_guard
 from tablight.sources.csv import drop_unnamed
 
 
@@ -129,12 +129,17 @@ def learn_fills(df: DataFrame, strategies: Mapping[str, tuple[str, Any]]) -> dic
     fills: dict = {}
     if modes:
         fills.update(column_modes(df, modes))
-    if medians:
-        q = column_quantiles(df, medians, [0.5])
-        fills.update({c: q[c].get(0.5) for c in medians})
-    if means:
-        row = df.agg(*[F.avg(F.col(quoted(c)).cast("double")).alias(c) for c in means]).collect()[0]
-        fills.update({c: row[c] for c in means})
+    if medians or means:
+        # one aggregate: the means, and count/min/max that start the exact medians
+        row = df.agg(
+            F.lit(0).alias("_one"),
+            *[F.avg(numeric_guard(F.col(quoted(c)))).alias(f"_avg__{c}") for c in means],
+            *column_stats_aggs(medians),
+        ).collect()[0]
+        fills.update({c: row[f"_avg__{c}"] for c in means})
+        if medians:
+            q = column_quantiles(df, medians, [0.5], stats_row=row)
+            fills.update({c: q[c].get(0.5) for c in medians})
     for c, (how, const) in strategies.items():
         if how == "const":
             fills[c] = const
@@ -158,18 +163,28 @@ def impute(df: DataFrame, strategies: Mapping[str, tuple[str, Any]]) -> CleanRes
     return CleanResult(apply_fills(df, fills), fills)
 
 
-def clean(df: DataFrame, spec: Mapping[str, Rule], keep_other: bool = True) -> CleanResult:
+def clean(df: DataFrame, spec: Mapping[str, Rule], keep_other: bool = True, persist: bool = False) -> CleanResult:
     """Apply a cleaning spec: drop header-artefact columns, map every column,
     learn fill statistics in one round of aggregates, fill.
 
     Columns not in the spec are kept unchanged (``keep_other``) in their
     original position; the output keeps the input column order.
+
+    Statistics take a few column-pruned passes (modes; exact medians; means).
+    Over a plain table scan that is cheapest; when ``df`` is expensive to
+    recompute (a join, a wide derived view) ``persist=True`` keeps the mapped
+    columns (MEMORY_AND_DISK) for the duration of learning.
     """
+    from pyspark import StorageLevel
+
     df = drop_unnamed(df)
     cols = [c for c in df.columns if c in spec or keep_other]
     mapped = df.select(*[rule_expr(c, spec[c]) if c in spec else F.col(quoted(c)) for c in cols])
     strategies = {c: (r.impute, r.fill) for c, r in spec.items() if r.impute and c in cols}
-    fills = learn_fills(mapped, strategies)
+    learn_on = mapped.select(*[quoted(c) for c in strategies]).persist(StorageLevel.MEMORY_AND_DISK) if persist else mapped
+    fills = learn_fills(learn_on, strategies)
+    if persist:
+        learn_on.unpersist()
     for c, r in spec.items():
         if r.kind == "label" and c in fills and fills[c] is None:
             fills[c] = r.default if r.default is not None else 0.0
