@@ -58,12 +58,21 @@ def as_matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.values])
 
 
-def sq_distances(Q: np.ndarray, T: np.ndarray, chunk: int = 64):
+def row_chunk(n_cols: int, dims: int, budget_bytes: int = 32 << 20) -> int:
+    """Rows per chunk so a (rows x n_cols x dims) float64 tensor fits the budget."""
+    return max(1, min(256, budget_bytes // max(1, n_cols * max(1, dims) * 8)))
+
+
+def sq_distances(Q: np.ndarray, T: np.ndarray, chunk: int | None = None):
     """Yield (row offset, exact squared distances of a chunk of Q rows to all T).
 
     Differences are taken directly (not by the dot-product expansion) so
-    distances are exact to rounding and ties behave the same everywhere.
+    distances are exact to rounding and ties behave the same everywhere. The
+    chunk adapts to the block size and dimension so the temporary difference
+    tensor stays within a fixed memory budget.
     """
+    if chunk is None:
+        chunk = row_chunk(T.shape[0], T.shape[1] if T.ndim == 2 else 1)
     for s in range(0, Q.shape[0], chunk):
         diff = Q[s : s + chunk, None, :] - T[None, :, :]
         yield s, np.einsum("ijk,ijk->ij", diff, diff)
