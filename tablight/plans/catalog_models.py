@@ -132,6 +132,10 @@ def q_dbscan_embeddings(spark, sf):
     return dbscan.dbscan(e, KNN_EPS, KNN_MIN_SAMPLES, "embedding", "vec_id")
 
 
+def q_cluster_summary_dbscan_embeddings(spark, sf):
+    return cluster.cluster_summary(q_dbscan_embeddings(spark, sf), "cluster")
+
+
 def q_dbscan_survey(spark, sf):
     p = _prep_unsup(spark, sf)
     return dbscan.dbscan(p.all_rows, 0.7, 4, "features", "row_id")
@@ -250,6 +254,7 @@ QUERIES = {
     "silhouette_embeddings_labels": q_silhouette_embeddings_labels,
     "dbscan_neighbors_embeddings": q_dbscan_neighbors_embeddings,
     "dbscan_embeddings": q_dbscan_embeddings,
+    "cluster_summary_dbscan_embeddings": q_cluster_summary_dbscan_embeddings,
     "dbscan_survey": q_dbscan_survey,
     "kmeans_survey": q_kmeans_survey,
     "kmeans_pp_survey": q_kmeans_pp_survey,

@@ -434,3 +434,30 @@ SELECT round(avg(s), 6) AS silhouette FROM s""",
 SELECT vec_id, count_if(d2 <= 1.15 * 1.15) AS n_neighbors, count_if(d2 <= 1.15 * 1.15) >= 5 AS is_core
 FROM p GROUP BY vec_id""",
 }
+
+SQL_MODELS["dbscan_embeddings"] = f"""WITH RECURSIVE
+nb AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a CROSS JOIN embeddings b
+  WHERE {_D2.format(a='a.embedding', b='b.embedding')} <= 1.15 * 1.15),
+cnt AS (SELECT a, count(*) AS n FROM nb GROUP BY a),
+core AS (SELECT a AS id FROM cnt WHERE n >= 5),
+edges AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON nb.a = c1.id JOIN core c2 ON nb.b = c2.id),
+reach(id, root) AS (
+  SELECT id, id FROM core
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.id),
+comp AS (SELECT id, min(root) AS comp FROM reach GROUP BY id),
+border AS (
+  SELECT nb.a AS id, min(comp.comp) AS comp FROM nb JOIN comp ON nb.b = comp.id
+  WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a),
+lab AS (SELECT id, comp FROM comp UNION ALL SELECT id, comp FROM border),
+num AS (SELECT comp, CAST(dense_rank() OVER (ORDER BY comp) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT comp FROM lab))
+SELECT e.vec_id, coalesce(num.cluster, -1) AS cluster, e.vec_id IN (SELECT id FROM core) AS is_core
+FROM embeddings e LEFT JOIN lab ON lab.id = e.vec_id LEFT JOIN num ON num.comp = lab.comp"""
+
+SQL_MODELS["cluster_summary_dbscan_embeddings"] = (
+    "SELECT CAST(count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END) AS INTEGER) AS n_clusters, "
+    "coalesce(max(cluster = -1), false) AS has_outliers FROM ("
+    + SQL_MODELS["dbscan_embeddings"].replace("WITH RECURSIVE", "WITH RECURSIVE", 1)
+    + ") t"
+)
