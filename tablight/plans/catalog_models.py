@@ -113,6 +113,14 @@ def q_knn_embeddings(spark, sf):
     return pred.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+def q_knn_search_embeddings(spark, sf):
+    """Cross-validated accuracy for k = 1..19 over the training rows."""
+    e = _emb_split(spark, sf).where("split = 'train'").select("vec_id", "embedding", "label")
+    folds = split.stratified_folds(e, "vec_id", "label", 5, 42)
+    res = knn.knn_search(folds, list(range(1, 20)), "embedding", "vec_id", "label", "fold")
+    return r6(spark.createDataFrame([(k, res["scores"][k]) for k in sorted(res["scores"])], "k int, cv_accuracy double"))
+
+
 def q_silhouette_embeddings_labels(spark, sf):
     e = table(spark, sf, "embeddings")
     s = cluster.silhouette(e, "embedding", "label", "vec_id")
@@ -251,6 +259,7 @@ QUERIES = {
     "knn_search_survey": q_knn_search_survey,
     "knn_neighbors_embeddings": q_knn_neighbors_embeddings,
     "knn_embeddings": q_knn_embeddings,
+    "knn_search_embeddings": q_knn_search_embeddings,
     "silhouette_embeddings_labels": q_silhouette_embeddings_labels,
     "dbscan_neighbors_embeddings": q_dbscan_neighbors_embeddings,
     "dbscan_embeddings": q_dbscan_embeddings,

@@ -461,3 +461,19 @@ SQL_MODELS["cluster_summary_dbscan_embeddings"] = (
     + SQL_MODELS["dbscan_embeddings"].replace("WITH RECURSIVE", "WITH RECURSIVE", 1)
     + ") t"
 )
+
+SQL_MODELS["knn_search_embeddings"] = f"""WITH e AS (SELECT vec_id, embedding, label, {_HASH_SPLIT.format(k='vec_id')} AS split FROM embeddings),
+tr AS (
+  SELECT vec_id, embedding, label,
+    CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id) - 1) % 5 AS INTEGER) AS fold
+  FROM e WHERE split = 'train'),
+d AS (
+  SELECT q.vec_id AS qid, q.label AS y, q.fold AS f, t.vec_id AS tid, t.label AS tlabel,
+    {_D2.format(a='q.embedding', b='t.embedding')} AS d2
+  FROM tr q JOIN tr t ON q.fold <> t.fold),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) - 1 AS rank FROM d),
+ks AS (SELECT range AS k FROM range(1, 20)),
+v AS (SELECT qid, y, f, k, tlabel, count(*) AS n FROM r JOIN ks ON r.rank < ks.k GROUP BY qid, y, f, k, tlabel),
+w AS (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY n DESC, tlabel) AS pos FROM v),
+acc AS (SELECT k, f, avg(CASE WHEN tlabel = y THEN 1.0 ELSE 0.0 END) AS a FROM w WHERE pos = 1 GROUP BY k, f)
+SELECT CAST(k AS INTEGER) AS k, round(avg(a), 6) AS cv_accuracy FROM acc GROUP BY k"""
