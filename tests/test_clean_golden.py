@@ -12,17 +12,17 @@ from tablight.sources.csv import read_table_csv
 
 
 def _expected():
-    return pd.read_csv(os.path.join(FIXTURES, "cleaned_data.csv"))
+    return pd.read_csv(os.path.join(FIXTURES, "survey_clean.csv"))
 
 
 def test_raw_scan_shape(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     assert raw.columns == list(SURVEY_COLUMNS)
     assert raw.count() == 122
 
 
 def test_golden_pair(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     res = clean(raw, survey_spec())
     got = res.df.toPandas()
     exp = _expected()
@@ -37,7 +37,7 @@ def test_golden_pair(spark):
 
 
 def test_learned_statistics(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     fills = clean(raw, survey_spec()).fills
     assert fills["Education"] == "University"
     assert fills["Area"] == "Urban"

@@ -15,7 +15,7 @@ from tablight.sources.csv import read_table_csv
 
 
 def _cleaned(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     df = clean(raw, survey_spec()).df
     return df.withColumn("row_id", F.monotonically_increasing_id()).checkpoint()
 

@@ -16,7 +16,7 @@ from tablight.sources.csv import read_table_csv
 
 @pytest.fixture(scope="module")
 def cleaned(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     return clean(raw, survey_spec()).df.cache()
 
 

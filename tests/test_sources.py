@@ -26,7 +26,7 @@ def test_null_tokens_and_blank(spark):
 
 
 def test_csv_roundtrip_of_cleaned(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cwdata.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_raw.csv"))
     cleaned = clean(raw, survey_spec()).df
     out = tempfile.mkdtemp(prefix="out-") + "/cleaned"
     write_table_csv(cleaned, out, single_file=True)
@@ -39,7 +39,7 @@ def test_csv_roundtrip_of_cleaned(spark):
 
 
 def test_not_idempotent_label_quirk(spark):
-    raw = read_table_csv(spark, os.path.join(FIXTURES, "cleaned_data.csv"))
+    raw = read_table_csv(spark, os.path.join(FIXTURES, "survey_clean.csv"))
     twice = clean(raw, survey_spec()).df
     # '1.0' / '0.0' are not keys of the label map: every label falls back to the mode
     assert twice.select("Fraud").distinct().count() == 1
