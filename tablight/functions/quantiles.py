@@ -132,7 +132,8 @@ def exact_quantiles(
         }
         if not active:
             break
-        nb = max(16, min(buckets, 4_000_000 // len(active)))
+        # the per-round histogram comes to the driver: keep it under ~400k rows
+        nb = max(16, min(buckets, 400_000 // len(active)))
         rows = _assign(data, gcols, active, gschema)
         half_span = F.col("_hi") / 2 - F.col("_lo") / 2
         b = F.least(
