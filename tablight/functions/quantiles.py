@@ -79,7 +79,7 @@ def exact_quantiles(
     value: str | Column,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    bracket_limit: int = 1_000_000,
+    bracket_limit: int = 50_000,
     buckets: int = 4096,
     max_targets: int = 20_000,
     max_rounds: int = 64,
@@ -123,18 +123,28 @@ def exact_quantiles(
             want.append((g, p, pos, ks, n))
 
     resolved: dict[int, float] = {}
+
+    def shared(tids):
+        """Targets with the same (group, bracket) share one histogram / window."""
+        groups: dict[tuple, list[int]] = {}
+        for tid in tids:
+            t = targets[tid]
+            groups.setdefault((t["g"], t["lo"], t["hi"]), []).append(tid)
+        brackets = {bid: {"g": key[0], "lo": key[1], "hi": key[2]} for bid, key in enumerate(groups)}
+        members = {bid: groups[key] for bid, key in enumerate(groups)}
+        return brackets, members
+
     for _ in range(max_rounds):
         for tid, t in targets.items():
             if tid not in resolved and t["lo"] == t["hi"]:
                 resolved[tid] = t["lo"]
-        active = {
-            tid: t for tid, t in targets.items() if tid not in resolved and t["cnt"] > bracket_limit
-        }
+        active = [tid for tid, t in targets.items() if tid not in resolved and t["cnt"] > bracket_limit]
         if not active:
             break
+        brackets, members = shared(active)
         # the per-round histogram comes to the driver: keep it under ~400k rows
-        nb = max(16, min(buckets, 400_000 // len(active)))
-        rows = _assign(data, gcols, active, gschema)
+        nb = max(16, min(buckets, 400_000 // len(brackets)))
+        rows = _assign(data, gcols, brackets, gschema)
         half_span = F.col("_hi") / 2 - F.col("_lo") / 2
         b = F.least(
             F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / half_span * nb).cast("int"), F.lit(nb - 1)
@@ -148,29 +158,39 @@ def exact_quantiles(
         per: dict[int, list] = {}
         for h in hist:
             per.setdefault(h["_t"], []).append(h)
-        for tid, t in active.items():
-            acc = t["below"]
-            for h in sorted(per.get(tid, []), key=lambda x: x["_b"]):
-                if acc + h["c"] > t["k"]:
-                    t.update(lo=h["mn"], hi=h["mx"], below=acc, cnt=h["c"])
-                    break
-                acc += h["c"]
-    pending = {tid: t for tid, t in targets.items() if tid not in resolved}
+        for bid, tids in members.items():
+            hs = sorted(per.get(bid, []), key=lambda x: x["_b"])
+            for tid in tids:
+                t = targets[tid]
+                acc = t["below"]
+                for h in hs:
+                    if acc + h["c"] > t["k"]:
+                        t.update(lo=h["mn"], hi=h["mx"], below=acc, cnt=h["c"])
+                        break
+                    acc += h["c"]
+    pending = [tid for tid in targets if tid not in resolved]
     if pending:
-        rows = _assign(data, gcols, pending, gschema)
-        rank_in = F.create_map(
-            *[x for tid, t in pending.items() for x in (F.lit(tid), F.lit(t["k"] - t["below"]))]
+        brackets, members = shared(pending)
+        rows = _assign(data, gcols, brackets, gschema)
+        wanted = F.create_map(
+            *[
+                x
+                for bid, tids in members.items()
+                for x in (F.lit(bid), F.array(*[F.lit(targets[t]["k"] - targets[t]["below"]) for t in tids]))
+            ]
         )
         w = Window.partitionBy("_t").orderBy("_v")
         picked = (
             rows.select("_t", "_v")
             .withColumn("_rn", F.row_number().over(w) - 1)
-            .where(F.col("_rn") == F.element_at(rank_in, F.col("_t")))
-            .select("_t", "_v")
+            .where(F.array_contains(F.element_at(wanted, F.col("_t")), F.col("_rn")))
+            .select("_t", "_rn", "_v")
             .collect()
         )
-        for r in picked:
-            resolved[r["_t"]] = r["_v"]
+        got = {(r["_t"], r["_rn"]): r["_v"] for r in picked}
+        for bid, tids in members.items():
+            for tid in tids:
+                resolved[tid] = got[(bid, targets[tid]["k"] - targets[tid]["below"])]
     out = []
     for g, p, pos, (klo, khi), n in want:
         lo = resolved[index[(g, klo)]]
