@@ -50,6 +50,32 @@ def as_array(col: str | Column, df: DataFrame) -> Column:
     return c.cast("array<double>")
 
 
+def _top_k(d2: np.ndarray, tk: np.ndarray, k: int):
+    """Per row of ``d2``: indices of the k smallest distances, ties broken by
+    the lower train key, infinite (masked) entries dropped.
+
+    Vectorised: argpartition finds k candidates per row and a k-wide lexsort
+    orders them. Only rows whose k-th distance is tied with entries left out
+    fall back to a full per-row lexsort, so the result is exact.
+    """
+    m, n = d2.shape
+    kk = min(k, n)
+    if kk == 0:
+        return
+    idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < n else np.tile(np.arange(n), (m, 1))
+    vals = np.take_along_axis(d2, idx, axis=1)
+    kth = vals.max(axis=1)
+    n_le = (d2 <= kth[:, None]).sum(axis=1)
+    order = np.lexsort((tk[idx], vals), axis=1)
+    idx = np.take_along_axis(idx, order, axis=1)
+    for i in range(m):
+        if n_le[i] > kk:  # ties at the boundary: decide them by train key
+            sel = np.lexsort((tk, d2[i]))[:kk]
+        else:
+            sel = idx[i]
+        yield i, sel[np.isfinite(d2[i, sel])]
+
+
 def _kernel(k: int, exclude_self: bool, use_folds: bool):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
@@ -66,13 +92,10 @@ def _kernel(k: int, exclude_self: bool, use_folds: bool):
                 d2 = np.where(qk[s : s + d2.shape[0], None] == tk[None, :], np.inf, d2)
             if use_folds:
                 d2 = np.where(qf[s : s + d2.shape[0], None] == tf[None, :], np.inf, d2)
-            for i in range(d2.shape[0]):
-                row = d2[i]
-                order = np.lexsort((tk, row))[:k]
-                order = order[np.isfinite(row[order])]
+            for i, order in _top_k(d2, tk, k):
                 out_q.append(np.full(len(order), qk[s + i], dtype=np.int64))
                 out_t.append(tk[order])
-                out_d.append(row[order])
+                out_d.append(d2[i, order])
                 out_l.append(tl[order])
         if not out_q:
             return empty_frame(NEIGHBOR_SCHEMA)

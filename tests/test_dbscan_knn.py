@@ -124,3 +124,21 @@ def test_dbscan_search_picks_valid_setting(spark):
     assert best["silhouette"] == top
     first = next(t for t in tried if t["silhouette"] == top)
     assert (best["eps"], best["min_samples"]) == (first["eps"], first["min_samples"])
+
+
+def test_knn_ties_break_on_train_key(spark):
+    rng = np.random.default_rng(8)
+    X = rng.integers(0, 3, size=(120, 2)).astype(float)  # many exact duplicates
+    keys = rng.permutation(120).astype(np.int64) + 100
+    pdf = pd.DataFrame({"id": keys, "v": [list(r) for r in X], "label": (keys % 3).astype(float)})
+    df = spark.createDataFrame(pdf, "id long, v array<double>, label double")
+    train, test = df.where(F.col("id") % 4 != 0), df.where(F.col("id") % 4 == 0)
+    nb = knn_neighbors(train, test, 6, "v", "id", "id", "label", block_rows=20)
+    got = {}
+    for r in nb.collect():
+        got.setdefault(r["qkey"], []).append((r["rank"], r["tkey"]))
+    tr = keys % 4 != 0
+    for i in np.flatnonzero(~tr):
+        d = ((X[tr] - X[i]) ** 2).sum(1)
+        exp = list(keys[tr][np.lexsort((keys[tr], d))[:6]])
+        assert [t for _, t in sorted(got[keys[i]])] == exp
