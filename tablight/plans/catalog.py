@@ -231,6 +231,15 @@ def q_box_stats_survey(spark, sf):
     return r6(profile.box_stats(_clean(spark, sf), "income", by="fraud"))
 
 
+def q_histogram_auto_lineitem(spark, sf):
+    out, info = profile.histogram(table(spark, sf, "lineitem"), "l_extendedprice", bins="auto")
+    return r6(out)
+
+
+def q_value_counts_raw_area(spark, sf):
+    return profile.value_counts(dirty_survey(spark, sf), "area", null_as="nan")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_survey": q_clean_survey,
     "table_shapes": q_table_shapes,
@@ -269,4 +278,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "before_after_area": q_before_after_area,
     "describe_survey": q_describe_survey,
     "box_stats_survey": q_box_stats_survey,
+    "histogram_auto_lineitem": q_histogram_auto_lineitem,
+    "value_counts_raw_area": q_value_counts_raw_area,
 }

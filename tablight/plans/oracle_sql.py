@@ -477,3 +477,23 @@ v AS (SELECT qid, y, f, k, tlabel, count(*) AS n FROM r JOIN ks ON r.rank < ks.k
 w AS (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY n DESC, tlabel) AS pos FROM v),
 acc AS (SELECT k, f, avg(CASE WHEN tlabel = y THEN 1.0 ELSE 0.0 END) AS a FROM w WHERE pos = 1 GROUP BY k, f)
 SELECT CAST(k AS INTEGER) AS k, round(avg(a), 6) AS cv_accuracy FROM acc GROUP BY k"""
+
+SQL["histogram_auto_lineitem"] = """WITH s AS (
+  SELECT count(*) AS n, min(l_extendedprice) AS mn, max(l_extendedprice) AS mx,
+    quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr
+  FROM lineitem),
+w AS (
+  SELECT *, (mx - mn) / (log2(n) + 1.0) AS sturges, 2.0 * iqr * pow(n, -1.0 / 3.0) AS fd FROM s),
+b AS (
+  SELECT *, CAST(ceil((mx - mn) / (CASE WHEN fd > 0 THEN least(sturges, fd) ELSE sturges END)) AS INTEGER) AS bins
+  FROM w),
+g AS (SELECT mn, bins, (mx - mn) / bins AS width FROM b),
+x AS (SELECT least(CAST(floor((l_extendedprice - g.mn) / g.width) AS INTEGER), g.bins - 1) AS bin FROM lineitem, g),
+cnt AS (SELECT bin, count(*) AS n FROM x GROUP BY bin),
+ids AS (SELECT CAST(range AS INTEGER) AS bin FROM g, range(g.bins))
+SELECT ids.bin, round(g.mn + ids.bin * g.width, 6) AS lo, round(g.mn + (ids.bin + 1) * g.width, 6) AS hi,
+  coalesce(cnt.n, 0) AS n
+FROM ids CROSS JOIN g LEFT JOIN cnt ON cnt.bin = ids.bin"""
+
+SQL["value_counts_raw_area"] = f"""WITH d AS ({dirty_survey_sql()})
+SELECT coalesce(area, 'nan') AS area, count(*) AS n FROM d GROUP BY 1"""
