@@ -13,7 +13,7 @@ functions  column-expression helpers and distributed building blocks
            (exact quantiles, global ranks / running sums)
 operators  the operator inventory (cleaning, profiling, association, features,
            splits, evaluation, classifiers, clustering, leaderboards)
-plans      composed pipelines and the driver-table query catalogue
+plans      composed workflows and the driver-table query catalogue
 streaming  the cleaning + scoring path as a Structured Streaming query
 """
 

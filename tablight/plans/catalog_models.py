@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablight.operators import classifiers, cluster, dbscan, evaluate, knn, leaderboard, split, svm, tune
-from tablight.plans import pipelines
+from tablight.plans import workflows
 from tablight.plans.catalog import r6
 from tablight.plans.survey import clean_survey
 from tablight.sources.tables import table
@@ -24,11 +24,11 @@ KNN_MIN_SAMPLES = 5
 
 
 def _prep_sup(spark, sf):
-    return pipelines.prepare_supervised(clean_survey(spark, sf).df, "fraud", "row_id")
+    return workflows.prepare_supervised(clean_survey(spark, sf).df, "fraud", "row_id")
 
 
 def _prep_unsup(spark, sf):
-    return pipelines.prepare_unsupervised(clean_survey(spark, sf).df, "fraud", "row_id")
+    return workflows.prepare_unsupervised(clean_survey(spark, sf).df, "fraud", "row_id")
 
 
 def q_prepare_supervised_survey(spark, sf):
@@ -44,7 +44,7 @@ def q_prepare_supervised_survey(spark, sf):
 def _model_query(name):
     def q(spark, sf):
         p = _prep_sup(spark, sf)
-        return r6(pipelines.fit_predict(name, p, "row_id", "fraud"))
+        return r6(workflows.fit_predict(name, p, "row_id", "fraud"))
 
     q.__name__ = "q_" + name.lower().replace(" ", "_")
     return q
@@ -52,7 +52,7 @@ def _model_query(name):
 
 def q_supervised_leaderboard_survey(spark, sf):
     p = _prep_sup(spark, sf)
-    return r6(pipelines.supervised_benchmark(p, "row_id", "fraud")["leaderboard"])
+    return r6(workflows.supervised_benchmark(p, "row_id", "fraud")["leaderboard"])
 
 
 def q_feature_importance_survey(spark, sf):
@@ -193,7 +193,7 @@ def q_cluster_projection_survey(spark, sf):
 
 def q_clustering_leaderboard_survey(spark, sf):
     p = _prep_unsup(spark, sf)
-    res = pipelines.clustering_benchmark(
+    res = workflows.clustering_benchmark(
         p, "row_id", 3, 6, eps_list=[0.7], min_samples=[4], min_clusters=1, drop_noise=False, stability_seeds=[0, 1, 2, 3, 4]
     )
     return r6(res["leaderboard"])
@@ -209,13 +209,13 @@ def _emb_vectors(spark, sf):
 
 def q_mlp_embeddings(spark, sf):
     e = _emb_vectors(spark, sf)
-    res = pipelines.final_fit(e.where("split = 'train'"), e.where("split = 'test'"), 64, 10, (512, 256, 128), 50)
+    res = workflows.final_fit(e.where("split = 'train'"), e.where("split = 'test'"), 64, 10, (512, 256, 128), 50)
     return r6(res["report"])
 
 
 def q_confusion_mlp_embeddings(spark, sf):
     e = _emb_vectors(spark, sf)
-    res = pipelines.final_fit(e.where("split = 'train'"), e.where("split = 'test'"), 64, 10, (512, 256, 128), 50)
+    res = workflows.final_fit(e.where("split = 'train'"), e.where("split = 'test'"), 64, 10, (512, 256, 128), 50)
     return res["confusion"]
 
 
@@ -240,7 +240,7 @@ def q_experiment_grid_embeddings(spark, sf):
 def q_predict_with_proba_embeddings(spark, sf):
     e = _emb_vectors(spark, sf)
     m = classifiers.mlp(64, 10, (128,), 30, 42).fit(e.where("split = 'train'"))
-    out = pipelines.predict_with_proba(m, e.where("split = 'test'").orderBy("vec_id"), 25, keep=["vec_id", "label"])
+    out = workflows.predict_with_proba(m, e.where("split = 'test'").orderBy("vec_id"), 25, keep=["vec_id", "label"])
     return out.select("vec_id", "label", "prediction", F.array_max("probabilities").alias("max_probability"))
 
 

@@ -1,4 +1,4 @@
-"""Composed pipelines: prepare data for supervised / unsupervised learning,
+"""Composed workflows: prepare data for supervised / unsupervised learning,
 profile and association reports, the six-model benchmark, the clustering
 benchmark and the final fit of a chosen setting.
 

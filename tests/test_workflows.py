@@ -1,4 +1,4 @@
-"""Composed pipelines on the golden survey and group-wise validation splits."""
+"""Composed workflows on the golden survey and group-wise validation splits."""
 
 import os
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import FIXTURES
 from tablight.operators.clean import clean
 from tablight.operators.split import train_val_split_by_group
-from tablight.plans import pipelines
+from tablight.plans import workflows
 from tablight.plans.survey import CATEGORICAL_TESTED, survey_spec
 from tablight.sources.csv import read_table_csv
 
@@ -22,18 +22,18 @@ def _cleaned(spark):
 
 def test_profile_and_association_reports(spark):
     df = _cleaned(spark)
-    prof = pipelines.profile_report(df, "Fraud", ["Income", "Balance", "Age"])
+    prof = workflows.profile_report(df, "Fraud", ["Income", "Balance", "Age"])
     assert prof["describe"].count() == 3 and prof["imbalance"].collect()[0]["positives"] == 58
     for h, info in prof["histograms"].values():
         assert sum(r["n"] for r in h.collect()) == 122
-    assoc = pipelines.association_report(df, "Fraud", ["Income", "Balance", "Age"], list(CATEGORICAL_TESTED), "Education")
+    assoc = workflows.association_report(df, "Fraud", ["Income", "Balance", "Age"], list(CATEGORICAL_TESTED), "Education")
     assert assoc["chi_square"].count() == 5 and assoc["correlation"].count() == 16
     assert assoc["grouped"].agg(F.sum("n")).collect()[0][0] == 122
 
 
 def test_prepare_supervised_scaler_uses_train_rows(spark):
     df = _cleaned(spark)
-    p = pipelines.prepare_supervised(df, "Fraud", "row_id")
+    p = workflows.prepare_supervised(df, "Fraud", "row_id")
     assert len(p.feature_names) == 25
     from pyspark.ml.functions import vector_to_array
 
