@@ -142,3 +142,21 @@ def test_knn_ties_break_on_train_key(spark):
         d = ((X[tr] - X[i]) ** 2).sum(1)
         exp = list(keys[tr][np.lexsort((keys[tr], d))[:6]])
         assert [t for _, t in sorted(got[keys[i]])] == exp
+
+
+def test_connected_components_long_chain(spark):
+    from tablight.functions.components import connected_components
+
+    rng = np.random.default_rng(4)
+    chain = rng.permutation(np.arange(1000, 1300))  # one path of 300 nodes in random key order
+    edges = [(int(a), int(b)) for a, b in zip(chain[:-1], chain[1:])]
+    edges += [(5000, 5001), (5002, 5001), (7000, 7000)]  # a small star and a self loop
+    nodes = sorted(set(chain.tolist()) | {5000, 5001, 5002, 7000, 9000})
+    comps = connected_components(
+        spark.createDataFrame([(n,) for n in nodes], "node long"),
+        spark.createDataFrame(edges, "a long, b long"),
+    )
+    got = {r["node"]: r["comp"] for r in comps.collect()}
+    assert all(got[n] == 1000 for n in chain)
+    assert got[5000] == got[5001] == got[5002] == 5000
+    assert got[7000] == 7000 and got[9000] == 9000
