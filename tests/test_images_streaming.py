@@ -81,3 +81,26 @@ def test_clean_stream_matches_batch(spark, sf_dir):
     a = out.orderBy("row_id").collect()
     b = batch.df.orderBy("row_id").collect()
     assert len(a) == len(b) and a == b
+
+
+def test_score_stream_matches_batch(spark):
+    import pandas as pd
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from tablight.streaming.scoring import score_stream
+
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"id": np.arange(300), "a": rng.normal(size=300), "b": rng.normal(size=300)})
+    pdf["label"] = (pdf.a + pdf.b > 0).astype(float)
+    batch = spark.createDataFrame(pdf)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                             LogisticRegression(maxIter=50)]).fit(batch)
+    src = tempfile.mkdtemp(prefix="score-src-") + "/in"
+    batch.repartition(3).write.parquet(src)
+    stream = read_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+    out = run_to_memory(score_stream(stream, model, keep=["id"]), "score_stream_t", tempfile.mkdtemp(prefix="ck-"))
+    got = {r["id"]: r["prediction"] for r in out.collect()}
+    exp = {r["id"]: r["prediction"] for r in model.transform(batch).select("id", "prediction").collect()}
+    assert got == exp and len(got) == 300
