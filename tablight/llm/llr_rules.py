@@ -31,7 +31,8 @@ from .common import materialise
 SPACE = r"[ \t\n\x0B\f\r]+"
 SYMBOLS = r"[#*$%&|<>]+"
 N_BUCKETS = 1 << 17
-THRESHOLD = -0.1
+SMOOTH = 10.0
+THRESHOLD = -0.15
 _PLACE_BITS = 26
 
 
@@ -103,9 +104,11 @@ def ngram_buckets(docs: DataFrame, keep: list[str], text: str = "text", n: int =
     return rows.select(*keep, F.pmod(F.xxhash64("_g"), F.lit(n_buckets)).cast("int").alias("bucket"))
 
 
-def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS, smooth: float = 1.0) -> DataFrame:
+def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS, smooth: float = SMOOTH) -> DataFrame:
     """(bucket, weight): log ratio of the trusted to the raw multinomial, for
-    every bucket that occurs. ``trusted`` is a boolean column of ``docs``."""
+    every bucket that occurs. ``trusted`` is a boolean column of ``docs``. Each
+    bucket gets ``smooth`` extra grams in the target and as many, relatively, in
+    the raw corpus: what the corpus hardly holds weighs next to nothing."""
     grams = ngram_buckets(docs.select(F.coalesce(trusted, F.lit(False)).alias("_y"), text), ["_y"], text, n, n_buckets)
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum(F.col("_y").cast("long")).alias("target"))
     counts = materialise(counts, "llr-counts")
@@ -113,15 +116,8 @@ def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 1, n_
     raw, target = float(total["r"] or 0), float(total["t"] or 0)
     if target == 0:
         return counts.select("bucket", F.lit(0.0).alias("weight"))
-    size = smooth * n_buckets
-    p = (F.col("target") + smooth * raw_share(F.col("raw"), raw, n_buckets)) / (target + size)
-    return counts.select("bucket", (F.log(p) - F.log((F.col("raw") + smooth) / (raw + size))).alias("weight"))
-
-
-def raw_share(raw: Column, total: float, n_buckets: int) -> Column:
-    """Pseudo-count of a bucket: the raw corpus's share of it, so that a bucket
-    unseen in a small target backs off to the raw multinomial."""
-    return (raw + 1.0) / (total + n_buckets) * n_buckets
+    ratio = (F.col("target") + smooth) / (F.col("raw") * (target / raw) + smooth)
+    return counts.select("bucket", F.log(ratio).alias("weight"))
 
 
 def llr_scores(docs: DataFrame, weights: DataFrame, keys: list[str], text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS) -> DataFrame:

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_documents
 from .chat import format_chat, loss_text, read_turns, text_part
-from .common import table
+from .common import id_crc, table
+from .hmm import hmm_scores
+from .jaccard import near_duplicates
+from .langid import fit_language_filter, predict_language
+from .licenses import scan_licenses
 from .llr_rules import quality_rules
 from .packing import pack
+from .quality_pu import fit_quality, score_quality
+from .topk import top_k
 
 WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,6 +28,23 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), WORD_VOCAB)
 
 
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = id_crc("doc_id") % 4 == 2
+    model = fit_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ~held)
+    return score_quality(docs, model, ["doc_id", held.alias("held_out")])
+
+
+def op4_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = hmm_scores(docs, id_crc("doc_id") % 5 != 1)
+    return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), BYTE_VOCAB, public_tokenizers.PATTERN, digests_only=True)
 
@@ -48,10 +71,37 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("sentence_ids", ",").alias("sentence_ids"), "n_sentences")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = id_crc("doc_id") % 4 == 2
+    return predict_language(docs, fit_language_filter(docs.where(~held)), ["doc_id", held.alias("held_out")])
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_llr_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("_good", F.lit(True))
     return quality_rules(docs.join(good, "doc_id", "left"), F.col("_good")).drop("llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_byte_bpe, op6_chat_format, op10_llr_rules)}
+OPERATORS = (
+    op1_packing,
+    op2_pivot_topk,
+    op3_pu_quality,
+    op4_hmm_lm,
+    op5_byte_bpe,
+    op6_chat_format,
+    op7_license_scan,
+    op8_language_id,
+    op9_jaccard_join,
+    op10_llr_rules,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
