@@ -41,14 +41,17 @@ from .common import chunks, materialise, ship
 
 CAPACITY, UNIT, GAP = 4096, 8, 5e-4
 END_ID = 2
-MEMO_WORDS = 300_000
+MEMO_WORDS, MEMO_STEMS = 400_000, 1_000_000
 MEMO_WORD_BYTES = 64
+_TAIL = b".,;:!?%&#$*|()\"'-"
 
 
 class WordIds:
-    """Ids of texts by a ``tokenizers`` file whose pieces never span white space:
-    the ids of a text are those of its blank-separated stretches in order, so
-    stretches are encoded once and kept in a bounded memo as little-endian bytes."""
+    """Ids of texts by a lower-casing ``tokenizers`` file whose pieces never span
+    white space, nor letters and punctuation: the ids of a text are those of its
+    blank-separated stretches in order, and those of a stretch are its stem's and
+    its closing punctuation's. Both are encoded once and kept in bounded memos as
+    little-endian bytes."""
 
     def __init__(self, vocab: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,22 +60,38 @@ class WordIds:
         self.tok = Tokenizer.from_str(vocab)
         self.tok.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         found = self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """(stem, tail): the tail is ASCII punctuation after a Latin letter or digit."""
+        stem = word.rstrip(_TAIL)
+        if not stem or len(stem) == len(word):
+            return word, b""
+        last = stem[-3:].decode(errors="ignore")[-1:]
+        return (stem, word[len(stem) :]) if last < "\u0250" and last.isalnum() else (word, b"")
+
     def ids(self, text: bytes) -> bytes:
-        words = text.split()  # bytes: space, \t, \n, \r, \x0b, \f
-        memo = self.memo
+        words = text.lower().split()  # of bytes: A-Z; space, \t, \n, \r, \x0b, \f
+        memo, stems = self.memo, self.stems
         try:
             return b"".join([memo[w] for w in words])
         except KeyError:
             pass
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        found = dict(zip(new, self._encode(new), strict=True))
+        if len(stems) > MEMO_STEMS:
+            stems.clear()
+        new = {w: self._parts(w) for w in dict.fromkeys(words) if w not in memo}
+        want = [p for p in dict.fromkeys(p for parts in new.values() for p in parts) if p and p not in stems]
+        fresh = dict(zip(want, self._encode(want), strict=True))
+        fresh[b""] = b""
+        found = {w: (fresh[s] if s in fresh else stems[s]) + (fresh[t] if t in fresh else stems[t]) for w, (s, t) in new.items()}
+        stems.update((s, i) for s, i in fresh.items() if len(s) <= MEMO_WORD_BYTES)
         memo.update((w, i) for w, i in found.items() if len(w) <= MEMO_WORD_BYTES)
         return b"".join([found[w] if w in found else memo[w] for w in words])
 
