@@ -13,8 +13,8 @@ with equal token sets are one class; classes are nodes, texts only members.
    prefix token. Tokens that occur in one class only are dropped. The matrix
    holds a row (token, group) for every token in the union of a group's prefixes:
    a component of thousands of near copies adds each token once per group.
-3. *Bound and open.* A class meets the groups of other components that share one of
-   its prefix tokens. The overlap with the group's token union bounds the overlap
+3. *Bound and open.* A class meets the groups of larger components (ties: by id)
+   that share one of its prefix tokens. The overlap with the group's token union bounds the overlap
    with every member; only groups whose union holds ceil(t |x|) tokens of the
    class are opened and compared member by member, and the first link decides,
    since it joins the whole component.
@@ -49,7 +49,7 @@ from .wordhash import mix, shingles, words
 WIDTH, NUM, DEN = 5, 75, 100  # 100 * |intersection| >= 75 * |union|
 KEYS, SKETCH, LIKELY = 8, 64, 0.55
 SLOTS, SHARDS = 1 << 24, 64
-GROUP, QUERIES, SALTS = 32, 128, 32
+GROUP, QUERIES, SALTS, LEADERS, ROUNDS = 32, 128, 32, 8, 3
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * KEYS + 1, dtype=_U))
 
@@ -153,14 +153,29 @@ def rarity(rows: DataFrame) -> np.ndarray:
     return level
 
 
-def likely_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b): class and leader of a shared bucket whose sketches look similar."""
-    rows = classes.select("cid", F.explode("keys").alias("k")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
-    first = rows.groupBy("k", "salt").agg(F.min("cid").alias("lead"))
-    near = rows.join(first, ["k", "salt"]).where("cid != lead").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
-    best = first.groupBy("k").agg(F.min("lead").alias("b"))
-    far = first.join(best, "k").where("lead != b").select(F.col("lead").alias("a"), "b")
-    pairs = near.unionByName(far).distinct()
+def likely_pairs(classes: DataFrame, comp: DataFrame | None = None, round_: int = 0) -> DataFrame:
+    """(a, b): class and leader of a shared bucket whose sketches look similar.
+
+    First round: the leader of the class's salt, and of a salt's leader the
+    bucket's. Later rounds (with the components so far): leaders of ``LEADERS``
+    salts, for the classes of buckets that still hold several components."""
+    rows = classes.select("cid", F.posexplode("keys").alias("place", "k")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
+    if comp is not None:
+        rows = rows.join(comp.select(F.col("node").alias("cid"), "comp"), "cid")
+        mixed = rows.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("k")
+        rows = rows.join(mixed, "k")
+    # another order for each key, so that a class in several buckets meets several leaders
+    first = rows.groupBy("k", "salt").agg(F.min(F.struct(F.xxhash64("cid", "place", F.lit(round_)).alias("h"), "cid")).alias("best"))
+    first = first.select("k", "salt", F.col("best.cid").alias("lead"), F.col("best.h").alias("h"))
+    if comp is None:
+        near = rows.join(first, ["k", "salt"]).where("cid != lead").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
+        best = first.groupBy("k").agg(F.min_by("lead", F.struct("h", "lead")).alias("b"))
+        far = first.join(best, "k").where("lead != b").select(F.col("lead").alias("a"), "b")
+        pairs = near.unionByName(far).distinct()
+    else:
+        several = rows.withColumn("salt", F.explode(F.transform(F.sequence(F.lit(0), F.lit(LEADERS - 1)), lambda j: F.pmod(F.col("salt") + j, F.lit(SALTS)))))
+        met = several.join(first, ["k", "salt"]).join(comp.select(F.col("node").alias("lead"), F.col("comp").alias("other")), "lead")
+        pairs = met.where("comp != other").select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct()
     sk = classes.select("cid", "blob")
     both = pairs.join(sk.select(F.col("cid").alias("a"), F.col("blob").alias("x")), "a").join(sk.select(F.col("cid").alias("b"), F.col("blob").alias("y")), "b")
 
@@ -277,6 +292,17 @@ def _texts_of(docs: DataFrame, key: str, text: str, rows: DataFrame, wanted: Dat
     return materialise(found.mapInArrow(check, "cid long, text string"), "jaccard-texts")
 
 
+def _compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Links among (class, leader) pairs; a leader's classes are salted into
+    parts of bounded size."""
+    per = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / QUERIES).alias("parts"))
+    asked = pairs.join(per, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
+    q = asked.select(F.col("b").alias("grp"), "part", F.col("a").alias("cid")).join(texts, "cid")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    lead = per.select(F.col("b").alias("cid"), F.col("b").alias("grp"), each.alias("part")).join(texts, "cid")
+    return open_groups(q, lead, width)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(key, n_shingles, component_id, n_links) of every row; n_links counts the links
     found between the row's class and others (enough to connect its component)."""
@@ -290,23 +316,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(shared.select("cid"))
     texts = _texts_of(docs, key, text, rows, wanted, width)
 
-    # groups: compare with leaders; a leader's rows are salted into parts of bounded size
-    per = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / QUERIES).alias("parts"))
-    asked = pairs.join(per, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
-    q = asked.select(F.col("b").alias("grp"), "part", F.col("a").alias("cid")).join(texts, "cid")
-    lead = per.select(F.col("b").alias("cid"), F.col("b").alias("grp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(texts, "cid")
-    near = materialise(open_groups(q, lead, width), "jaccard-near")
-    comp = materialise(connected_components(classes.select(F.col("cid").alias("node")), near), "jaccard-comp")
+    # groups: compare with leaders, again while buckets hold classes of several components
+    nodes = classes.select(F.col("cid").alias("node"))
+    near = materialise(_compare(pairs, texts, width), "jaccard-near")
+    comp = materialise(connected_components(nodes, near), "jaccard-comp")
+    for i in range(1, ROUNDS):
+        more = materialise(likely_pairs(classes, comp, i), "jaccard-pairs")
+        if more.isEmpty():
+            break
+        near = materialise(near.unionByName(_compare(more, texts, width)), "jaccard-near")
+        comp = materialise(connected_components(nodes, near), "jaccard-comp")
 
     # matrix: groups of a component, their prefix tokens, and the classes that meet them
-    size = comp.groupBy("comp").count().select("comp", F.ceil(F.col("count") / GROUP).alias("groups"))
+    size = comp.groupBy("comp").count().select("comp", F.col("count").alias("members"), F.ceil(F.col("count") / GROUP).alias("groups"))
     grouped = comp.join(size, "comp").select(
-        F.col("node").alias("cid"), "comp", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.col("groups"))).alias("grp")
+        F.col("node").alias("cid"), "comp", "members", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.col("groups"))).alias("grp")
     )
     grouped = materialise(grouped, "jaccard-groups")
     tokens = shared.join(grouped, "cid")
-    matrix = tokens.select("token", "comp", "grp").distinct()
-    meets = tokens.select("token", "cid", F.col("comp").alias("own")).join(matrix, "token").where("own < comp").select("cid", "grp").distinct()
+    matrix = tokens.select("token", "comp", "members", "grp").distinct()
+    asks = tokens.select("token", "cid", F.col("comp").alias("own"), F.col("members").alias("own_members"))
+    meets = asks.join(matrix, "token").where("own_members < members OR (own_members = members AND own < comp)").select("cid", "grp").distinct()
     n = classes.select("cid", "n")
     span = grouped.join(n, "cid").groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     meets = meets.join(n, "cid").join(span, "grp").where((DEN * F.col("hi") >= NUM * F.col("n")) & (NUM * F.col("lo") <= DEN * F.col("n"))).select("cid", "grp")
