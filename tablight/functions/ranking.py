@@ -26,10 +26,9 @@ from tablight.session import ensure_checkpoint_dir
 _LOW33 = (1 << 33) - 1
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _by_range(df: DataFrame, n: int | None, cols: Sequence) -> DataFrame:
+    """Range partitions; without a number adaptive execution sizes them."""
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
 
 
 def global_rank(
@@ -41,8 +40,7 @@ def global_rank(
 ) -> DataFrame:
     """Add a 0-based rank of each row within its ``partition_cols`` group."""
     parts = [F.col(c) for c in partition_cols]
-    n = _n_parts(df, num_partitions)
-    r = df.repartitionByRange(n, *parts, *order).sortWithinPartitions(*parts, *order)
+    r = _by_range(df, num_partitions, [*parts, *order]).sortWithinPartitions(*parts, *order)
     r = r.withColumn("_mid", F.monotonically_increasing_id())
     r = r.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
     ensure_checkpoint_dir(df.sparkSession)
@@ -52,10 +50,13 @@ def global_rank(
     )
     w = Window.partitionBy(*parts).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
-    out = r.join(offs, on=["_pid", *partition_cols], how="inner")
-    return out.withColumn(rank_col, F.col("_off") + F.col("_idx") - F.col("_first")).drop(
-        "_mid", "_pid", "_idx", "_off", "_first"
-    )
+    # null-safe: rows whose group is null are a group of their own
+    offs = offs.toDF("_opid", *[f"_g{i}" for i in range(len(partition_cols))], "_first", "_off")
+    same = F.col("_pid") == F.col("_opid")
+    for i, c in enumerate(partition_cols):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out = r.join(offs, same, "inner")
+    return out.select(*df.columns, (F.col("_off") + F.col("_idx") - F.col("_first")).alias(rank_col))
 
 
 def running_sums(
@@ -70,9 +71,8 @@ def running_sums(
     Each range partition sums locally (a window per partition id, so no task
     sees more than one range), and adds the totals of all earlier partitions.
     """
-    n = _n_parts(df, num_partitions)
     ensure_checkpoint_dir(df.sparkSession)
-    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    r = _by_range(df, num_partitions, order).withColumn("_pid", F.spark_partition_id()).checkpoint()
     totals = r.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(

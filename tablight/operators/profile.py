@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablight.functions.columns import fmt1, quoted, to_double
-from tablight.functions.quantiles import column_quantiles, quantile_table
+from tablight.functions.quantiles import column_quantiles, numeric_guard, quantile_table
 
 
 def _c(name: str) -> Column:
@@ -79,14 +79,15 @@ DESCRIBE_SCHEMA = T.StructType(
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles (linear), max per column.
+    """count, mean, sample std, min, exact quartiles (linear), max per column;
+    NaN counts as missing everywhere.
 
     One aggregate for the moments, one exact-quantile pass for all columns.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
-        v = _c(c).cast("double")
+        v = numeric_guard(_c(c))
         aggs += [F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)]
     row = df.agg(*aggs).collect()[0]
     q = column_quantiles(df, cols, [0.25, 0.5, 0.75])
@@ -171,21 +172,27 @@ BOX_SCHEMA = (
 def box_stats(df: DataFrame, value: str, by: str | None = None, whis: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (furthest values inside whis x IQR) and outlier
     counts per group. Quartiles are exact; the second pass is one aggregate
-    with the per-group fences as a literal map (one entry per group)."""
+    over the rows joined with the table of fences (one row per group). Rows with
+    a null group or a missing value are left out; no row left: an empty result."""
     by_cols = [by] if by else []
+    if by:
+        df = df.where(_c(by).isNotNull())
+    v = numeric_guard(_c(value))
+    df = df.where(v.isNotNull())
     qt = quantile_table(df, value, [0.25, 0.5, 0.75], by=by_cols)
-    v = _c(value).cast("double")
+    if not qt:
+        return df.sparkSession.createDataFrame([], BOX_SCHEMA)
     if by:
-        key = _c(by)
-        lo_map = F.create_map(*[x for g, q in qt.items() for x in (F.lit(g[0]), F.lit(q[0.25] - whis * (q[0.75] - q[0.25])))])
-        hi_map = F.create_map(*[x for g, q in qt.items() for x in (F.lit(g[0]), F.lit(q[0.75] + whis * (q[0.75] - q[0.25])))])
-        lo_f, hi_f = F.element_at(lo_map, key), F.element_at(hi_map, key)
-        grouped = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(key.alias("_k"))
+        kind = df.schema[by].dataType.simpleString()
+        edges = [(g[0], q[0.25] - whis * (q[0.75] - q[0.25]), q[0.75] + whis * (q[0.75] - q[0.25])) for g, q in qt.items()]
+        fences = df.sparkSession.createDataFrame(edges, f"_k {kind}, _lo double, _hi double")
+        lo_f, hi_f = F.col("_lo"), F.col("_hi")
+        grouped = df.select(_c(by).alias("_k"), _c(value)).join(fences, "_k").groupBy("_k")
     else:
         (q,) = qt.values()
         lo_f = F.lit(q[0.25] - whis * (q[0.75] - q[0.25]))
         hi_f = F.lit(q[0.75] + whis * (q[0.75] - q[0.25]))
-        grouped = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(F.lit(None).cast("string").alias("_k"))
+        grouped = df.groupBy(F.lit(None).cast("string").alias("_k"))
     agg = grouped.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),

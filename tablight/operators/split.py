@@ -75,6 +75,7 @@ def train_val_split_by_group(
     the rest train (the folder-per-class 80/20 split of image sets)."""
     ranked = global_rank(df, [F.col(quoted(c)) for c in order], partition_cols=[group], rank_col="_r")
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(sizes, on=group)
+    sizes = sizes.select(F.col(quoted(group)).alias("_g"), "_n")
+    j = ranked.join(sizes, F.col(quoted(group)).eqNullSafe(F.col("_g"))).drop("_g")
     n_val = F.floor(F.col("_n") * F.lit(validation))
     return j.withColumn(split_col, F.when(F.col("_r") < n_val, F.lit("validation")).otherwise(F.lit("train"))).drop("_r", "_n")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tablight.operators import association, evaluate, features, leaderboard, profile, split
 from tablight.plans.survey import clean_survey, dirty_survey
-from tablight.sources.tables import table
+from tablight.sources.tables import TABLES, shape, split_counts, table
 
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SURVEY_NUMERIC = ["income", "balance", "age"]
@@ -43,11 +43,7 @@ def q_clean_survey(spark, sf):
 
 
 def q_table_shapes(spark, sf):
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
-    rows = []
-    for n in names:
-        df = table(spark, sf, n)
-        rows.append((n, df.count(), len(df.columns)))
+    rows = [(n, *shape(table(spark, sf, n))) for n in TABLES]
     return spark.createDataFrame(rows, "table_name string, n_rows long, n_cols long")
 
 
@@ -114,8 +110,8 @@ def q_histogram_info_lineitem(spark, sf):
 
 
 def q_select_numeric_lineitem(spark, sf):
-    cols = profile.numeric_columns(table(spark, sf, "lineitem"))
-    return spark.createDataFrame([(c,) for c in cols], "col_name string")
+    li = table(spark, sf, "lineitem")
+    return r6(li.select(*profile.numeric_columns(li)))
 
 
 def q_one_hot_survey(spark, sf):
@@ -140,13 +136,27 @@ def q_train_test_split_exact(spark, sf):
 
 def q_split_counts_orders(spark, sf):
     s = split.train_test_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.2, 42)
-    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    return split_counts(s)
 
 
 def q_stratified_folds_survey(spark, sf):
     return split.stratified_folds(_clean(spark, sf).select("row_id", "fraud"), "row_id", "fraud", 5, 42)
 
 
+def q_stratified_folds_dirty(spark, sf):
+    d = dirty_survey(spark, sf).select("row_id", F.when(F.col("row_id") % 7 != 0, F.col("fraud")).alias("label"))
+    return split.stratified_folds(d, "row_id", "label", 5, 42)
+
+
+def q_box_stats_dirty(spark, sf):
+    n = F.col("l_linenumber")
+    li = table(spark, sf, "lineitem").select(
+        F.when(n != 5, F.col("l_returnflag")).alias("grp"),
+        F.when(n == 3, F.lit(float("nan"))).when(n != 4, F.col("l_extendedprice")).alias("price"),
+    )
+    return r6(profile.box_stats(li, "price", by="grp"))
+
+
 def doc_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents with a deterministic score (length) and prediction
     (longer than the mean length)."""
@@ -264,6 +274,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_test_split_exact": q_train_test_split_exact,
     "split_counts_orders": q_split_counts_orders,
     "stratified_folds_survey": q_stratified_folds_survey,
+    "stratified_folds_dirty": q_stratified_folds_dirty,
+    "box_stats_dirty": q_box_stats_dirty,
     "confusion_matrix_docs": q_confusion_matrix_docs,
     "classification_report_docs": q_classification_report_docs,
     "accuracy_docs": q_accuracy_docs,

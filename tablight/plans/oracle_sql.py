@@ -230,7 +230,9 @@ SQL: dict[str, str] = {
     "table_shapes": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
         f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols"
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
+        for t in (
+            "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+        ).split()
     ),
     "distinct_area_raw": f"WITH d AS ({dirty_survey_sql()}) SELECT DISTINCT area FROM d",
     "value_counts_events": """SELECT event_type, count(*) AS n,
@@ -300,8 +302,24 @@ FROM ids CROSS JOIN w LEFT JOIN cnt ON cnt.bin = ids.bin""",
         f"min({c}) > 0 AS log_scale_ok FROM lineitem"
         for c in LINEITEM_NUMERIC
     ),
-    "select_numeric_lineitem": """SELECT column_name AS col_name FROM information_schema.columns
-WHERE table_name = 'lineitem' AND data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT', 'HUGEINT')""",
+    "select_numeric_lineitem": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
+  round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax FROM lineitem""",
+    "stratified_folds_dirty": f"""WITH d AS ({dirty_survey_sql()}),
+e AS (SELECT row_id, CASE WHEN row_id % 7 <> 0 THEN fraud END AS label FROM d)
+SELECT row_id, label,
+  CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), row_id) - 1) % 5 AS INTEGER) AS fold
+FROM e""",
+    "box_stats_dirty": """WITH d AS (
+  SELECT l_returnflag AS grp, l_extendedprice AS price FROM lineitem WHERE l_linenumber NOT IN (3, 4, 5)),
+qs AS (
+  SELECT grp, count(*) AS n, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS med, quantile_cont(price, 0.75) AS q3
+  FROM d GROUP BY grp),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM qs)
+SELECT f.grp, f.n, round(f.q1, 6) AS q1, round(f.med, 6) AS median, round(f.q3, 6) AS q3, round(f.q3 - f.q1, 6) AS iqr,
+  round(min(CASE WHEN d.price >= f.lo_f THEN d.price END), 6) AS whisker_lo,
+  round(max(CASE WHEN d.price <= f.hi_f THEN d.price END), 6) AS whisker_hi,
+  count_if(d.price < f.lo_f OR d.price > f.hi_f) AS n_outliers
+FROM d JOIN f ON d.grp = f.grp GROUP BY f.grp, f.n, f.q1, f.med, f.q3""",
     "one_hot_survey": _one_hot_sql(),
     "standardize_survey": with_clean(
         """SELECT row_id,

@@ -35,7 +35,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) do we create a folder of our own.
+    as is. Only when it is unset on a local master (tests) do we create a folder
+    of our own; on any other master that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,14 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             conf = spark.conf.get(CHECKPOINT_CONF)
         except Exception:  # noqa: BLE001 - unset key
             conf = None
+    if not conf and not sc.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="tablight-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name

@@ -25,17 +25,21 @@ def read_table_csv(
     schema: T.StructType | None = None,
     null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
     drop_unnamed_columns: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV -> DataFrame of nullable strings (or the given schema).
 
     With no schema, the header is taken from the file and every column is text;
     a trailing comma in the header yields an empty-named column that Spark
-    calls ``_cN`` and that is dropped (``drop_unnamed``).
+    calls ``_cN`` and that is dropped (``drop_unnamed``). Quotes inside quoted
+    fields are doubled. ``multi_line`` also reads line breaks inside quotes; a
+    file is then one task, since it cannot be split.
     """
     reader = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
         # keep blanks as they are; token mapping below decides what is missing
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -72,6 +76,7 @@ def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite", single_fi
         out.write.mode(mode)
         .option("header", True)
         .option("emptyValue", "")
+        .option("escape", '"')
         # the writer trims blanks by default; values like 'White ' must survive
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
