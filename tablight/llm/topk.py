@@ -13,7 +13,7 @@ the remaining annuli open only if that allows a score of at least the bound.
 Pivots come from a bounded, documented sample (``sample`` rows with the smallest
 hash of the id, farthest-first); every row is indexed. Queries meet blocks in
 bounded groups (query salt, block); scores are exact integers (doubles while
-below 2^53, else Python integers). The table of annuli has n_pivots * n_rings
+below 2^53, else Python integers; a score beyond 64 bits raises). The table of annuli has n_pivots * n_rings
 rows at most, so its broadcast is bounded.
 
 Defined results. Vectors null or with null or non-finite components take no part;
@@ -167,7 +167,9 @@ def top_k(vectors: DataFrame, is_query: F.Column, key: str = "vec_id", vec: str
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     start = queries.withColumn("bound", F.lit(None).cast("double")).mapInPandas(plan(True), kind)
     near = materialise(visit(start).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank"), "topk-near")
-    bound = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("bound"))
+    least = F.min("score").cast("double")
+    least = least - F.abs(least) * 1e-15  # never above the integer it stands for
+    bound = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, least).alias("bound"))
     rest = queries.join(bound, queries["id"] == bound["query_id"], "left").select("id", "v", "bound").mapInPandas(plan(False), kind)
     found = near.unionByName(visit(rest))
     return (
