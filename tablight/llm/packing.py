@@ -41,7 +41,7 @@ from .common import chunks, materialise, ship
 
 CAPACITY, UNIT, GAP = 4096, 8, 5e-4
 END_ID = 2
-MEMO_WORDS, MEMO_STEMS = 400_000, 1_000_000
+MEMO_WORDS, MEMO_STEMS = 1_200_000, 1_000_000
 MEMO_WORD_BYTES = 64
 _TAIL = b".,;:!?%&#$*|()\"'-"
 
