@@ -6,18 +6,18 @@ with equal token sets are one class; classes are nodes, texts only members.
 1. *Groups.* Classes with an equal min-hash pair (``KEYS`` pairs) are likely
    similar. Each is compared with a leader of its bucket (smallest class, found
    per salt and then per bucket), not with every other: links are linear in the
-   bucket. Linked classes form components; a component is cut into groups of
-   bounded size.
+   bucket. Linked classes form components.
 2. *Token-group matrix.* A class's prefix is its |x| - ceil(t |x|) + 1 first tokens
    in a global order, rare tokens first; two classes with Jaccard >= t share a
-   prefix token. Tokens that occur in one class only are dropped. The matrix
-   holds a row (token, group) for every token in the union of a group's prefixes:
-   a component of thousands of near copies adds each token once per group.
-3. *Bound and open.* A class meets the groups of larger components (ties: by id)
-   that share one of its prefix tokens. The overlap with the group's token union bounds the overlap
-   with every member; only groups whose union holds ceil(t |x|) tokens of the
-   class are opened and compared member by member, and the first link decides,
-   since it joins the whole component.
+   prefix token. Tokens of one component only are dropped. Classes, linked or
+   not, are cut into groups of about ``GROUP`` similar ones (by their component's most
+   frequent token and by size). The matrix holds one row (token, group) with the
+   group's classes that have the token: thousands of similar texts add a
+   token once per group.
+3. *Bound and open.* Two groups meet if they share a prefix token and their sizes
+   allow a link. The overlap of a class with the other group's token union bounds
+   its overlap with every member; only classes whose bound reaches
+   ceil(t |x|) tokens are compared, and of each only one link to a component is kept.
 
 Components of the links are the result: no pair within a component is ever
 listed. The order (rare first) comes from a table of ``SLOTS`` hashed document
@@ -49,7 +49,8 @@ from .wordhash import mix, shingles, words
 WIDTH, NUM, DEN = 5, 75, 100  # 100 * |intersection| >= 75 * |union|
 KEYS, SKETCH, LIKELY = 8, 64, 0.55
 SLOTS, SHARDS = 1 << 24, 64
-GROUP, QUERIES, SALTS, LEADERS, ROUNDS = 32, 128, 32, 8, 3
+GROUP, QUERIES, SALTS = 32, 128, 32
+COLUMNS = 1 << 14
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * KEYS + 1, dtype=_U))
 
@@ -153,29 +154,17 @@ def rarity(rows: DataFrame) -> np.ndarray:
     return level
 
 
-def likely_pairs(classes: DataFrame, comp: DataFrame | None = None, round_: int = 0) -> DataFrame:
-    """(a, b): class and leader of a shared bucket whose sketches look similar.
-
-    First round: the leader of the class's salt, and of a salt's leader the
-    bucket's. Later rounds (with the components so far): leaders of ``LEADERS``
-    salts, for the classes of buckets that still hold several components."""
+def likely_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b): class and leader of a shared bucket whose sketches look similar: the
+    leader of the class's salt, and of a salt's leader the bucket's."""
     rows = classes.select("cid", F.posexplode("keys").alias("place", "k")).withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)))
-    if comp is not None:
-        rows = rows.join(comp.select(F.col("node").alias("cid"), "comp"), "cid")
-        mixed = rows.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("k")
-        rows = rows.join(mixed, "k")
     # another order for each key, so that a class in several buckets meets several leaders
-    first = rows.groupBy("k", "salt").agg(F.min(F.struct(F.xxhash64("cid", "place", F.lit(round_)).alias("h"), "cid")).alias("best"))
+    first = rows.groupBy("k", "salt").agg(F.min(F.struct(F.xxhash64("cid", "place").alias("h"), "cid")).alias("best"))
     first = first.select("k", "salt", F.col("best.cid").alias("lead"), F.col("best.h").alias("h"))
-    if comp is None:
-        near = rows.join(first, ["k", "salt"]).where("cid != lead").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
-        best = first.groupBy("k").agg(F.min_by("lead", F.struct("h", "lead")).alias("b"))
-        far = first.join(best, "k").where("lead != b").select(F.col("lead").alias("a"), "b")
-        pairs = near.unionByName(far).distinct()
-    else:
-        several = rows.withColumn("salt", F.explode(F.transform(F.sequence(F.lit(0), F.lit(LEADERS - 1)), lambda j: F.pmod(F.col("salt") + j, F.lit(SALTS)))))
-        met = several.join(first, ["k", "salt"]).join(comp.select(F.col("node").alias("lead"), F.col("comp").alias("other")), "lead")
-        pairs = met.where("comp != other").select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct()
+    near = rows.join(first, ["k", "salt"]).where("cid != lead").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
+    best = first.groupBy("k").agg(F.min_by("lead", F.struct("h", "lead")).alias("b"))
+    far = first.join(best, "k").where("lead != b").select(F.col("lead").alias("a"), "b")
+    pairs = near.unionByName(far).distinct()
     sk = classes.select("cid", "blob")
     both = pairs.join(sk.select(F.col("cid").alias("a"), F.col("blob").alias("x")), "a").join(sk.select(F.col("cid").alias("b"), F.col("blob").alias("y")), "b")
 
@@ -243,38 +232,87 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     return prefixes.repartition("token").sortWithinPartitions("token", "cid").mapInArrow(run, "token long, cid long")
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return DEN * both >= NUM * (len(x) + len(y) - both)
-
-
-def open_groups(queries: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """queries (grp, part, cid, comp, text), members (grp, part, cid, text) ->
-    links (a, b). The union's overlap bounds; a query stops at its first link."""
+def _tokens_of(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """The token set of each text, some 2 MB of text at a time."""
+    found: list[np.ndarray] = []
+    ends = np.cumsum([len(t) + 1 for t in texts]) // 2_000_000
+    for run in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
+        sizes, starts, h = token_sets([texts[i] for i in run], width)
+        found += [h[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+    return found
+
+
+def _side(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, place in ``common``) of the tokens that are in ``common``."""
+    doc, tok = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+    at = np.minimum(np.searchsorted(common, tok), len(common) - 1)
+    hit = common[at] == tok
+    return doc[hit], at[hit]
+
+
+def linked_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the linked token sets of a query group and a member group.
+
+    The token-group matrix bounds first: a set goes on only if it shares
+    ceil(t |x|) tokens with the union of the other group. What is left is
+    multiplied out, ``COLUMNS`` tokens at a time."""
+    none = np.zeros(0, np.int64)
+    common = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    if not len(common):
+        return none, none
+    sides, counts, kept = [], [], []
+    for sets in (left, right):
+        doc, at = _side(sets, common)
+        n = np.array([len(x) for x in sets], np.int64)
+        keep = np.bincount(doc, minlength=len(sets)) >= -(-NUM * n // DEN)
+        if not keep.any():
+            return none, none
+        place = np.cumsum(keep) - 1
+        ok = keep[doc]
+        sides.append((place[doc[ok]], at[ok]))
+        counts.append(n[keep])
+        kept.append(np.flatnonzero(keep))
+    both = np.zeros((len(kept[0]), len(kept[1])), np.float32)  # counts below 2^24 are exact
+    for lo in range(0, len(common), COLUMNS):
+        part = []
+        for (doc, at), k in zip(sides, kept, strict=True):
+            here = (at >= lo) & (at < lo + COLUMNS)
+            m = np.zeros((len(k), min(COLUMNS, len(common) - lo)), np.float32)
+            m[doc[here], at[here] - lo] = 1
+            part.append(m)
+        both += part[0] @ part[1].T
+    shared = both.astype(np.int64)
+    i, j = np.nonzero(DEN * shared >= NUM * (counts[0][:, None] + counts[1][None, :] - shared))
+    return kept[0][i], kept[1][j]
+
+
+def open_groups(queries: DataFrame, members: DataFrame, width: int, tasks: int) -> DataFrame:
+    """queries and members (grp, part, cid, comp, text) of the same (grp, part)
+    -> links (a, b) between different components: of each query, one to each
+    component. Groups are dealt to ``tasks`` tasks, each reads a text once."""
 
     def meet(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         if len(q) and len(m):
-            q, m = q.drop_duplicates("q_cid"), m.drop_duplicates("m_cid")
-            qs, qa, qh = token_sets([t.encode() for t in q["q_text"]], width)
-            ms, ma, mh = token_sets([t.encode() for t in m["m_text"]], width)
-            union = np.unique(mh)
-            q_ids, m_ids = q["q_cid"].to_numpy(), m["m_cid"].to_numpy()
-            for i in range(len(q)):
-                x = qh[qa[i] : qa[i] + qs[i]]
-                need = -(-NUM * len(x) // DEN)
-                if np.isin(x, union, assume_unique=True).sum() < need:
+            m.columns = q.columns
+            every = pd.concat([q[["cid", "text"]], m[["cid", "text"]]]).drop_duplicates("cid")
+            sets = dict(zip(every["cid"], _tokens_of([t.encode() for t in every["text"]], width), strict=True))
+            right = dict(iter(m.groupby(["grp", "part"])))
+            for at, x in q.groupby(["grp", "part"]):
+                y = right.get(at)
+                if y is None:
                     continue
-                fit = (ms >= need) & (NUM * ms <= DEN * len(x))
-                for j in np.flatnonzero(fit):
-                    if _linked(x, mh[ma[j] : ma[j] + ms[j]]):
-                        out.append((int(q_ids[i]), int(m_ids[j])))
-                        break
+                xc, yc, xo, yo = x["cid"].to_numpy(), y["cid"].to_numpy(), x["comp"].to_numpy(), y["comp"].to_numpy()
+                i, j = linked_pairs([sets[c] for c in xc], [sets[c] for c in yc])
+                other = xo[i] != yo[j]
+                first = {(a, c): (a, b) for a, b, c in zip(xc[i[other]].tolist(), yc[j[other]].tolist(), yo[j[other]].tolist(), strict=True)}
+                out += first.values()
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    left = queries.select("grp", "part", "cid", "text").toDF("grp", "part", "q_cid", "q_text")
-    right = members.select("grp", "part", "cid", "text").toDF("m_grp", "m_part", "m_cid", "m_text")
-    return left.groupBy("grp", "part").cogroup(right.groupBy("m_grp", "m_part")).applyInPandas(meet, "a long, b long")
+    task = F.pmod(F.xxhash64("grp", "part"), F.lit(max(1, tasks))).alias("task")
+    left = queries.select("grp", "part", "cid", "comp", "text", task)
+    right = members.select("grp", "part", "cid", "comp", "text", task).toDF("m_grp", "m_part", "m_cid", "m_comp", "m_text", "m_task")
+    return left.groupBy("task").cogroup(right.groupBy("m_task")).applyInPandas(meet, "a long, b long")
 
 
 def _texts_of(docs: DataFrame, key: str, text: str, rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -297,10 +335,51 @@ def _compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     parts of bounded size."""
     per = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / QUERIES).alias("parts"))
     asked = pairs.join(per, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
-    q = asked.select(F.col("b").alias("grp"), "part", F.col("a").alias("cid")).join(texts, "cid")
+    q = asked.select(F.col("b").alias("grp"), "part", F.col("a").alias("cid"), F.col("a").alias("comp")).join(texts, "cid")
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    lead = per.select(F.col("b").alias("cid"), F.col("b").alias("grp"), each.alias("part")).join(texts, "cid")
-    return open_groups(q, lead, width)
+    lead = per.select(F.col("b").alias("cid"), F.col("b").alias("comp"), F.col("b").alias("grp"), each.alias("part")).join(texts, "cid")
+    return open_groups(q, lead, width, pairs.count() // QUERIES)
+
+
+def token_groups(shared: DataFrame, comp: DataFrame, classes: DataFrame) -> DataFrame:
+    """The token-group matrix: (token, grp, cids, lo, hi, least, most) with the group's
+    classes that have the token in their prefix, their sizes and components.
+
+    Only tokens of several components are needed. A component's home is its most
+    frequent such token: similar classes, linked or not, share a home, and are
+    cut by size band into groups of about ``GROUP``, the classes of a component together."""
+    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
+    mine = comp.select(F.col("node").alias("cid"), "comp").join(size, "comp").join(classes.select("cid", "n"), "cid")
+    tokens = shared.join(mine, "cid")
+    facts = tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("f"))
+    live = materialise(tokens.join(facts.where("x != y").select("token", "f"), "token"), "jaccard-live")
+    home = live.groupBy("comp").agg(F.max(F.struct("f", "token")).alias("home"))
+    chunk = F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / GROUP)))
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM)))
+    each = live.select("cid", "comp", "members", "n").distinct().join(home, "comp")
+    each = each.select("cid", F.xxhash64("home.token", band).alias("family"), chunk.alias("chunk"))
+    parts = each.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
+    grp = each.join(parts, "family").select("cid", F.xxhash64("family", F.pmod("chunk", "parts")).alias("grp"))
+    matrix = live.join(grp, "cid").groupBy("token", "grp").agg(
+        F.collect_list("cid").alias("cids"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("least"), F.max("comp").alias("most")
+    )
+    matrix = materialise(matrix, "jaccard-matrix")
+    release(live)
+    return matrix
+
+
+def group_pairs(matrix: DataFrame) -> DataFrame:
+    """(ga, gb, a, b): groups that share a token and may hold a link, with the
+    classes of each that have a shared token."""
+    x, y = (matrix.select("token", *[F.col(c).alias(f"{c}_{side}") for c in matrix.columns[1:]]) for side in "xy")
+    met = x.join(y, "token").where(
+        (F.col("grp_x") <= F.col("grp_y"))
+        & (DEN * F.col("hi_x") >= NUM * F.col("lo_y"))
+        & (DEN * F.col("hi_y") >= NUM * F.col("lo_x"))
+        & ((F.col("least_x") != F.col("most_y")) | (F.col("most_x") != F.col("least_y")))
+    )
+    flat = [F.array_distinct(F.flatten(F.collect_list(f"cids_{side}"))).alias(name) for side, name in (("x", "a"), ("y", "b"))]
+    return met.groupBy(F.col("grp_x").alias("ga"), F.col("grp_y").alias("gb")).agg(*flat)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -316,35 +395,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(shared.select("cid"))
     texts = _texts_of(docs, key, text, rows, wanted, width)
 
-    # groups: compare with leaders, again while buckets hold classes of several components
+    # components to begin with: classes compared with the leaders of their buckets
     nodes = classes.select(F.col("cid").alias("node"))
     near = materialise(_compare(pairs, texts, width), "jaccard-near")
     comp = materialise(connected_components(nodes, near), "jaccard-comp")
-    for i in range(1, ROUNDS):
-        more = materialise(likely_pairs(classes, comp, i), "jaccard-pairs")
-        if more.isEmpty():
-            break
-        near = materialise(near.unionByName(_compare(more, texts, width)), "jaccard-near")
-        comp = materialise(connected_components(nodes, near), "jaccard-comp")
-
-    # matrix: groups of a component, their prefix tokens, and the classes that meet them
-    size = comp.groupBy("comp").count().select("comp", F.col("count").alias("members"), F.ceil(F.col("count") / GROUP).alias("groups"))
-    grouped = comp.join(size, "comp").select(
-        F.col("node").alias("cid"), "comp", "members", F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.col("groups"))).alias("grp")
-    )
-    grouped = materialise(grouped, "jaccard-groups")
-    tokens = shared.join(grouped, "cid")
-    matrix = tokens.select("token", "comp", "members", "grp").distinct()
-    asks = tokens.select("token", "cid", F.col("comp").alias("own"), F.col("members").alias("own_members"))
-    meets = asks.join(matrix, "token").where("own_members < members OR (own_members = members AND own < comp)").select("cid", "grp").distinct()
-    n = classes.select("cid", "n")
-    span = grouped.join(n, "cid").groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    meets = meets.join(n, "cid").join(span, "grp").where((DEN * F.col("hi") >= NUM * F.col("n")) & (NUM * F.col("lo") <= DEN * F.col("n"))).select("cid", "grp")
-    meets = materialise(meets, "jaccard-meets")
-    parts = meets.groupBy("grp").count().select("grp", F.ceil(F.col("count") / QUERIES).alias("parts"))
-    q = meets.join(parts, "grp").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts"))).select("grp", "part", "cid").join(texts, "cid")
-    m = grouped.select("cid", "grp").join(parts, "grp").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "cid").join(texts, "cid")
-    cross = materialise(open_groups(q, m, width), "jaccard-cross")
+
+    # matrix: groups of similar classes, and the pairs of groups that share a prefix token
+    matrix = token_groups(shared, comp, classes)
+    meets = materialise(group_pairs(matrix), "jaccard-meets")
+    held = texts.join(comp.select(F.col("node").alias("cid"), "comp"), "cid")
+    q, m = (meets.select(F.col("ga").alias("grp"), F.col("gb").alias("part"), F.explode(c).alias("cid")).join(held, "cid") for c in "ab")
+    rows_met = meets.agg(F.sum(F.size("a") + F.size("b"))).first()[0] or 0
+    cross = materialise(open_groups(q, m, width, rows_met // QUERIES), "jaccard-cross")
 
     links = near.unionByName(cross)
     joined = cross.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
@@ -355,7 +417,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     least = final.join(member, "cid").groupBy("root").agg(F.min("least").alias("least"))
     ends = links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count(F.lit(1)).alias("links"))
     labels = materialise(final.join(least, "root").join(ends, "cid", "left").select("cid", "least", "links"), "jaccard-labels")
-    release(pairs, shared, texts, near, comp, grouped, meets, cross, final, classes)
+    release(pairs, shared, texts, near, comp, matrix, meets, cross, final, classes)
     return (
         per_row.select("key", "cid", "n")
         .join(labels, "cid", "left")
