@@ -15,9 +15,12 @@ with equal token sets are one class; classes are nodes, texts only members.
    group's classes that have the token: thousands of similar texts add a
    token once per group.
 3. *Bound and open.* Two groups meet if they share a prefix token and their sizes
-   allow a link. The overlap of a class with the other group's token union bounds
-   its overlap with every member; only classes whose bound reaches
-   ceil(t |x|) tokens are compared, and of each only one link to a component is kept.
+   allow a link. The prefix tokens that a class shares with the other group's union
+   bound those it shares with any member; classes below what a link needs
+   (``needed``) are left out before texts are fetched. Then the overlap of all tokens
+   of a class with the other group's union bounds its overlap with every member;
+   only classes whose bound reaches ceil(t |x|) tokens are compared, and of each only
+   one link to a component is kept.
 
 Components of the links are the result: no pair within a component is ever
 listed. The order (rare first) comes from a table of ``SLOTS`` hashed document
@@ -342,8 +345,8 @@ def _compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 
 def token_groups(shared: DataFrame, comp: DataFrame, classes: DataFrame) -> DataFrame:
-    """The token-group matrix: (token, grp, cids, lo, hi, least, most) with the group's
-    classes that have the token in their prefix, their sizes and components.
+    """The token-group matrix: (token, grp, held, lo, hi, least, most) with the group's
+    classes (cid, n) that have the token in their prefix, their sizes and components.
 
     Only tokens of several components are needed. A component's home is its most
     frequent such token: similar classes, linked or not, share a home, and are
@@ -361,16 +364,27 @@ def token_groups(shared: DataFrame, comp: DataFrame, classes: DataFrame) -> Data
     parts = each.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     grp = each.join(parts, "family").select("cid", F.xxhash64("family", F.pmod("chunk", "parts")).alias("grp"))
     matrix = live.join(grp, "cid").groupBy("token", "grp").agg(
-        F.collect_list("cid").alias("cids"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("least"), F.max("comp").alias("most")
+        F.collect_list(F.struct("cid", "n")).alias("held"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("least"), F.max("comp").alias("most")
     )
     matrix = materialise(matrix, "jaccard-matrix")
     release(live)
     return matrix
 
 
+def needed(n: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Fewest prefix tokens that a set of ``n`` tokens shares with a linked set of
+    ``lo`` to ``hi`` tokens. An overlap of o puts the k-th shared token at place
+    k + |x| - o or before in either set, so the first o - ceil(t max(|x|, |y|)) + 1 are
+    in both prefixes. That number rises with |y| up to |x| and falls beyond."""
+    low, high = np.minimum(lo, n), np.maximum(hi, n)
+    small = -(-NUM * (n + low) // (NUM + DEN)) + (-NUM * n // DEN) + 1
+    large = (NUM * DEN * (n + high) - NUM * (NUM + DEN) * high) // (DEN * (NUM + DEN)) + 1
+    return np.maximum(1, np.minimum(small, large))
+
+
 def group_pairs(matrix: DataFrame) -> DataFrame:
-    """(ga, gb, a, b): groups that share a token and may hold a link, with the
-    classes of each that have a shared token."""
+    """(ga, gb, a, b): groups that may hold a link, with the classes of each that share
+    enough prefix tokens with the other group's token union."""
     x, y = (matrix.select("token", *[F.col(c).alias(f"{c}_{side}") for c in matrix.columns[1:]]) for side in "xy")
     met = x.join(y, "token").where(
         (F.col("grp_x") <= F.col("grp_y"))
@@ -378,8 +392,30 @@ def group_pairs(matrix: DataFrame) -> DataFrame:
         & (DEN * F.col("hi_y") >= NUM * F.col("lo_x"))
         & ((F.col("least_x") != F.col("most_y")) | (F.col("most_x") != F.col("least_y")))
     )
-    flat = [F.array_distinct(F.flatten(F.collect_list(f"cids_{side}"))).alias(name) for side, name in (("x", "a"), ("y", "b"))]
-    return met.groupBy(F.col("grp_x").alias("ga"), F.col("grp_y").alias("gb")).agg(*flat)
+    ranges = [f(f"{c}_{side}").alias(f"{c}_{side}") for side in "xy" for c, f in (("lo", F.min), ("hi", F.max))]
+    flat = [F.flatten(F.collect_list(f"held_{side}")).alias(name) for side, name in (("x", "a"), ("y", "b"))]
+    met = met.groupBy(F.col("grp_x").alias("ga"), F.col("grp_y").alias("gb")).agg(*flat, *ranges)
+
+    def enough(cid: np.ndarray, n: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        one, at, times = np.unique(cid, return_index=True, return_counts=True)
+        return one[times >= needed(n[at], lo, hi)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo_x, hi_x, lo_y, hi_y = (batch.column(c).to_pylist() for c in ("lo_x", "hi_x", "lo_y", "hi_y"))
+            kept, a, b = [], [], []
+            for i in range(batch.num_rows):
+                left, right = ([f.to_numpy(zero_copy_only=False) for f in batch.column(c)[i].values.flatten()] for c in "ab")
+                p, q = enough(*left, lo_y[i], hi_y[i]), enough(*right, lo_x[i], hi_x[i])
+                if len(p) and len(q):
+                    kept.append(i)
+                    a.append(p)
+                    b.append(q)
+            some = pa.array(kept, pa.int64())
+            ids = [batch.column(c).take(some) for c in ("ga", "gb")]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(a, pa.list_(pa.int64())), pa.array(b, pa.list_(pa.int64()))], names=["ga", "gb", "a", "b"])
+
+    return met.mapInArrow(run, "ga long, gb long, a array<long>, b array<long>")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:

@@ -339,3 +339,27 @@ def test_pipeline_equals_its_operators(spark, sf_dir):
     assert three.columns == docs.columns
     four = cp.packing(spark, three, sf_dir)
     assert {r.doc_id for r in four.select("doc_id").distinct().collect()} == {r.doc_id for r in three.select("doc_id").collect()} <= {d for d, _ in rows}
+
+
+def test_linked_sets_share_the_prefix_tokens_that_the_bound_asks_for():
+    from tablight.llm.jaccard import DEN, NUM, needed
+
+    rng = np.random.default_rng(9)
+    linked = tight = 0
+    for _ in range(4000):
+        n = int(rng.integers(1, 60))
+        m = int(rng.integers(-(-NUM * n // DEN), DEN * n // NUM + 1))
+        both = max(0, min(n, m) - int(rng.integers(0, 1 + n // 6)))
+        if DEN * both < NUM * (n + m - both):
+            continue
+        linked += 1
+        order = rng.permutation(n + m - both)
+        x, y = np.sort(order[:n]), np.sort(np.r_[order[:both], order[n:]])
+        prefixes = [set(s[: len(s) - -(-NUM * len(s) // DEN) + 1].tolist()) for s in (x, y)]
+        shared = len(prefixes[0] & prefixes[1])
+        spread = int(rng.integers(0, 4))
+        for a, b in ((n, m), (m, n)):
+            least = int(needed(np.array([a]), max(1, b - spread), b + spread)[0])
+            assert 1 <= least <= shared
+            tight += least == shared
+    assert linked > 500 and tight > 50
