@@ -319,8 +319,11 @@ def open_groups(queries: DataFrame, members: DataFrame, width: int, tasks: int)
 
 
 def _texts_of(docs: DataFrame, key: str, text: str, rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(cid, text) of the wanted classes, one text each."""
+    """(cid, text) of the wanted classes, one text each. The list of them is written
+    first: Spark then knows its size when it plans the join, and texts are shuffled
+    only if the list is too large to broadcast."""
     pick = rows.where("kind = 0").join(wanted.select("cid").distinct(), "cid").groupBy("cid").agg(F.min("key").alias("_k"))
+    pick = materialise(pick, "jaccard-pick")
     here = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     found = here.join(pick, F.col("_key").eqNullSafe(F.col("_k"))).select("_text", "cid")
 
@@ -330,7 +333,9 @@ def _texts_of(docs: DataFrame, key: str, text: str, rows: DataFrame, wanted: Dat
             kept = part.filter(pa.array(same))
             yield pa.RecordBatch.from_arrays([kept.column(1), kept.column(0)], names=["cid", "text"])
 
-    return materialise(found.mapInArrow(check, "cid long, text string"), "jaccard-texts")
+    texts = materialise(found.mapInArrow(check, "cid long, text string"), "jaccard-texts")
+    release(pick)
+    return texts
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
