@@ -51,14 +51,15 @@ class WordIds:
     white space, nor letters and punctuation: the ids of a text are those of its
     blank-separated stretches in order, and those of a stretch are its stem's and
     its closing punctuation's. Both are encoded once and kept in bounded memos as
-    little-endian bytes."""
+    little-endian bytes. The file's added tokens (``<|endoftext|>``) get their own id
+    where a text holds them as written, as the library has it; they are matched
+    before lower-casing, so stretches that may hold one are not lower-cased here."""
 
     def __init__(self, vocab: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(vocab)
-        self.tok.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
@@ -77,6 +78,8 @@ class WordIds:
 
     def ids(self, text: bytes) -> bytes:
         words = text.lower().split()  # of bytes: A-Z; space, \t, \n, \r, \x0b, \f
+        if b"<|" in text:
+            words = [raw if b"<|" in raw else w for raw, w in zip(text.split(), words, strict=True)]
         memo, stems = self.memo, self.stems
         try:
             return b"".join([memo[w] for w in words])

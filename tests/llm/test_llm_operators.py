@@ -97,6 +97,14 @@ def test_word_ids_equal_the_library(text):
     assert list(np.frombuffer(mine.ids(text.encode()), "<u4")) == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_get_the_ids_of_the_library():
+    tok, mine = Tokenizer.from_file(WORDS), packing.WordIds(open(WORDS, encoding="utf-8").read())
+    texts = ["end of doc <|endoftext|> next", "A<|endoftext|>B.", "<|ENDOFTEXT|> <|EndOfText|>", "<|startoftext|><|endoftext|>,", "<|a <| end|> <|endoftext|", "X<<|endoftext|>>!? Y", "It's <|endoftext|>'S <|Endoftext|>"]
+    for text in [*texts, " ".join(texts), "\n".join(texts * 2)]:
+        assert list(np.frombuffer(mine.ids(text.encode()), "<u4")) == tok.encode(text, add_special_tokens=False).ids
+    assert 49407 in np.frombuffer(mine.ids(texts[0].encode()), "<u4") and 49407 not in np.frombuffer(mine.ids(texts[2].encode()), "<u4")
+
+
 def test_packing_covers_every_id_once(spark):
     tok = Tokenizer.from_file(WORDS)
     tok.encode_special_tokens = True
