@@ -13,10 +13,12 @@ smoothed counts, with one unseen token per class:
 
     p(text) = sum over state paths of  prod p(state'|state) p(class|state)  *  prod p(token|class)
 
-Start values come from Baum-Welch on a bounded sample of segments; then every
-round's expected counts are summed over all training texts in all partitions
-(fixed-point, so the sums do not depend on their order) and re-estimate the
-parameters. Training cuts texts into segments of ``SEGMENT`` tokens; scoring does
+Start values are the class totals of all training texts, spread at random over the
+states. Every round's expected counts are summed over all training texts in all
+partitions (fixed-point, so the sums do not depend on their order) and re-estimate
+the parameters, until a round raises the log likelihood of the training texts by
+less than ``SETTLED`` of itself; ``ROUNDS`` only ends a run that does not settle.
+Training cuts texts into segments of ``SEGMENT`` tokens; scoring does
 not: the scaled forward recursion gives the exact log likelihood of whole texts.
 
 Only parameters (K x classes) and class totals reach the driver: bounded.
@@ -40,9 +42,9 @@ from pyspark.sql import functions as F
 from .common import materialise, ship
 from .wordhash import mix, words
 
-STATES, N_TOP, N_SUFFIX, SEGMENT, ROUNDS = 8, 4_096, 2_048, 256, 2
+STATES, N_TOP, N_SUFFIX, SEGMENT, ROUNDS = 8, 4_096, 2_048, 256, 100
+SETTLED = 1e-6
 BUCKET_BYTES = 12_000_000
-SAMPLE_SEGMENTS, SAMPLE_ROUNDS = 2_000, 12
 FIXED = float(1 << 20)
 _U = np.uint64
 END_HASH = _U(0x0123456789ABCDEF)
@@ -128,6 +130,7 @@ class Classes:
     log_in: np.ndarray  # log10 of the smoothed total of each class
     total: int
     distinct: int
+    counts: np.ndarray | None = None  # training tokens of each class
 
     @property
     def size(self) -> int:
@@ -143,14 +146,17 @@ class Classes:
 
 def learn_classes(counts: DataFrame, n_top: int, n_suffix: int) -> Classes:
     own = counts.where(F.col("suffix") >= 0)
-    top = np.sort(np.array([r["token"] for r in own.orderBy(F.desc("n"), "token").limit(n_top).select("token").collect()], np.int64))
+    most = own.orderBy(F.desc("n"), "token").limit(n_top).select("token", "n").toPandas().sort_values("token")
+    top = most["token"].to_numpy(np.int64)
     chosen = counts.sparkSession.createDataFrame(pd.DataFrame({"token": top})) if len(top) else None
     rest = own.join(F.broadcast(chosen), "token", "left_anti") if chosen is not None else own
     per = rest.groupBy("suffix").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     everything = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = np.zeros(n_suffix), np.zeros(n_suffix)
     n[per["suffix"]], v[per["suffix"]] = per["n"], per["v"]
-    return Classes(top, n_suffix, np.log10(n + 0.5 * (v + 1)), int(everything["n"] or 0), int(everything["v"] or 0))
+    total = int(everything["n"] or 0)
+    per_class = np.concatenate([most["n"].to_numpy(float), n])
+    return Classes(top, n_suffix, np.log10(n + 0.5 * (v + 1)), total, int(everything["v"] or 0), np.append(per_class, total - per_class.sum()))
 
 
 @dataclass
@@ -158,6 +164,7 @@ class Params:
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray  # (states, classes)
+    loglik: float = 0.0  # of the texts, where these are counts
 
 
 def random_params(states: int, unigram: np.ndarray, seed: int = 7) -> Params:
@@ -177,42 +184,45 @@ def segments(cls: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray
 
 
 def expected_counts(cls: np.ndarray, begin: np.ndarray, length: np.ndarray, p: Params, block: int = 1_024) -> Params:
-    """Baum-Welch counts of the segments under ``p`` (scaled forward-backward)."""
+    """Baum-Welch counts of the segments under ``p`` (scaled forward-backward), with
+    their log likelihood (natural)."""
     k, c = p.emit.shape
     out = Params(np.zeros(k), np.zeros((k, k)), np.zeros((k, c)))
-    emit = np.ascontiguousarray(p.emit.T)
+    emit = np.ascontiguousarray(p.emit.T, np.float32)
+    start, move = p.start.astype(np.float32), p.move.astype(np.float32)
     order = np.argsort(-length, kind="stable")
     for i in range(0, len(order), block):
         ids = order[i : i + block]
         b, ln = begin[ids], length[ids]
         steps = int(ln[0])
         live = np.searchsorted(-ln, -np.arange(steps), side="left")  # segments longer than t
-        alpha = np.empty((steps, len(ids), k), np.float32)
-        seen = np.empty((steps, len(ids), k), np.float32)
-        scale = np.empty((steps, len(ids)), np.float32)
-        symbol = [cls[b[: live[t]] + t] for t in range(steps)]
+        at = np.concatenate([[0], np.cumsum(live)])  # step t has the rows at[t] to at[t + 1]
+        step = np.repeat(np.arange(steps), live)
+        symbol = cls[b[np.arange(at[-1]) - at[step]] + step]
+        seen = emit[symbol]
+        alpha, scale = np.empty((at[-1], k), np.float32), np.empty(at[-1], np.float32)
         a = None
         for t in range(steps):
-            n = live[t]
-            e = emit[symbol[t]]
-            a = (p.start * e) if t == 0 else (a[:n] @ p.move) * e
+            lo, hi = at[t], at[t + 1]
+            a = (start if t == 0 else a[: hi - lo] @ move) * seen[lo:hi]
             s = a.sum(axis=1)
-            a = a / s[:, None]
-            alpha[t, :n], seen[t, :n], scale[t, :n] = a, e, s
-        beta = np.ones((len(ids), k))
+            a /= s[:, None]
+            alpha[lo:hi], scale[lo:hi] = a, s
+        out.loglik += float(np.log(scale).sum(dtype=float))
+        seen /= scale[:, None]
+        beta = np.ones((live[-1] if steps else 0, k), np.float32)
         for t in range(steps - 1, -1, -1):
-            n = live[t]
-            gamma = alpha[t, :n] * beta[:n]
+            lo, hi = at[t], at[t + 1]
+            alpha[lo:hi] *= beta
             if t:
-                right = seen[t, :n] * beta[:n] / scale[t, :n, None]
-                beta = np.ones((live[t - 1], k))
-                beta[:n] = right @ p.move.T
-                out.move += p.move * (alpha[t - 1, :n].T @ right)
-            alpha[t, :n] = gamma
-        out.start += alpha[0, : live[0]].sum(axis=0)
-        flat = np.concatenate(symbol)
+                right = seen[lo:hi] * beta
+                before = at[t - 1]
+                out.move += p.move * (alpha[before : before + hi - lo].T @ right)
+                beta = np.ones((lo - before, k), np.float32)
+                beta[: hi - lo] = right @ move.T
+        out.start += alpha[: at[1]].sum(axis=0)
         for j in range(k):
-            out.emit[j] += np.bincount(flat, weights=np.concatenate([alpha[t, : live[t], j] for t in range(steps)]), minlength=c)
+            out.emit[j] += np.bincount(symbol, weights=alpha[:, j], minlength=c)
     return out
 
 
@@ -260,15 +270,6 @@ def fit_hmm(coded: DataFrame, classes: Classes, states: int = STATES, rounds: in
     size = classes.size
     cols = coded.select("bucket", "train", "sizes", "codes", "vocab", "suffix")
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                cls, sizes = _train_part(r, shared.value)
-                begin, ln = segments(cls, sizes, SEGMENT)
-                rank = mix((np.arange(len(begin)).astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15) + _U(r["bucket"] % 2**32))
-                for i in np.argsort(rank)[:SAMPLE_SEGMENTS]:
-                    yield pa.RecordBatch.from_arrays([pa.array([int(rank[i] >> _U(1))]), pa.array([cls[begin[i] : begin[i] + ln[i]].astype(np.int32).tobytes()])], names=["rank", "cls"])
-
     def count(p: Params):  # noqa: ANN202
         params = spark.sparkContext.broadcast(p)
 
@@ -283,27 +284,24 @@ def fit_hmm(coded: DataFrame, classes: Classes, states: int = STATES, rounds: in
                         sums.start += got.start
                         sums.move += got.move
                         sums.emit += got.emit
-            flat = np.concatenate([sums.start, sums.move.ravel(), sums.emit.ravel()])
+                        sums.loglik += got.loglik
+            flat = np.concatenate([sums.start, sums.move.ravel(), sums.emit.ravel(), [sums.loglik]])
             at = np.flatnonzero(flat)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.rint(flat[at] * FIXED).astype(np.int64))], names=["at", "n"])
 
         return run
 
-    got = cols.mapInArrow(sample, "rank long, cls binary").orderBy("rank", "cls").limit(SAMPLE_SEGMENTS).collect()
-    parts = [np.frombuffer(r["cls"], np.int32) for r in got]
-    ln = np.array([len(x) for x in parts], np.int64)
-    cls = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    unigram = (np.bincount(cls, minlength=size) + 0.01) / (len(cls) + 0.01 * size)
-    p = random_params(states, unigram)
-    for _ in range(SAMPLE_ROUNDS if parts else 0):
-        p = re_estimate(expected_counts(cls, np.cumsum(ln) - ln, ln, p), unigram)
+    unigram = (classes.counts + 0.01) / (classes.total + 0.01 * size)
+    p, last = random_params(states, unigram), None
     for _ in range(rounds):
         sums = cols.mapInArrow(count(p), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # one number per parameter
-        flat = np.zeros(states + states * states + states * size)
+        flat = np.zeros(states + states * states + states * size + 1)
         flat[sums["at"]] = sums["n"] / FIXED
-        n = Params(flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 :].reshape(states, size))
-        whole = n.emit.sum(axis=0)
-        p = re_estimate(n, (whole + 0.01) / (whole.sum() + 0.01 * size))
+        n = Params(flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 : -1].reshape(states, size), float(flat[-1]))
+        p = re_estimate(n, unigram)
+        if last is not None and n.loglik - last <= SETTLED * abs(n.loglik):
+            break
+        last = n.loglik
     return p
 
 

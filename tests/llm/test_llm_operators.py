@@ -266,6 +266,36 @@ def test_forward_and_counts_equal_path_sums():
     assert hmm.forward(cls, sizes, better).sum() > before
 
 
+def test_every_round_counts_all_training_texts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    train = F.col("doc_id") % 5 != 1
+    coded = hmm.code_texts(docs, "doc_id", "text", train, 64, 400_000)
+    classes = hmm.learn_classes(hmm.token_counts(coded), 500, 64)
+    parts = [hmm._train_part(r.asDict(), classes) for r in coded.collect()]
+    assert len(parts) > 3
+    cls, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    assert np.array_equal(classes.counts, np.bincount(cls, minlength=classes.size))
+    begin, ln = hmm.segments(cls, sizes, hmm.SEGMENT)
+    unigram = (classes.counts + 0.01) / (classes.total + 0.01 * classes.size)
+    want = hmm.random_params(4, unigram)
+    for _ in range(3):
+        want = hmm.re_estimate(hmm.expected_counts(cls, begin, ln, want), unigram)
+    got = hmm.fit_hmm(coded, classes, 4, 3)
+    assert np.allclose(got.start, want.start, atol=1e-3) and np.allclose(got.move, want.move, atol=1e-3) and np.allclose(got.emit, want.emit, rtol=0.02, atol=1e-6)
+    # without a number of rounds it goes on until the likelihood of all texts settles
+    last = hmm.fit_hmm(coded, classes, 4)
+    n = hmm.expected_counts(cls, begin, ln, last)
+    more = hmm.expected_counts(cls, begin, ln, hmm.re_estimate(n, unigram))
+    assert n.loglik > hmm.expected_counts(cls, begin, ln, got).loglik and more.loglik - n.loglik <= 5 * hmm.SETTLED * abs(n.loglik)
+
+
+def test_hmm_beats_its_base_on_held_out_texts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    r = hmm.hmm_scores(docs, F.col("doc_id") % 5 != 1).where("not trained").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    print("held-out log10 per token:", r[0] / r[2], "base:", r[1] / r[2])
+    assert r[0] > r[1] + 0.1 * r[2]
+
+
 def test_language_filter(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     held = F.col("doc_id") % 4 == 2
