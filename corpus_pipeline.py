@@ -8,7 +8,7 @@ from ``labels``); the trained statistics are those of that input.
 Defined results. Empty input: every stage returns no rows. Rows with null or
 letterless text leave at the first stage. Repeated ids: the rows of an id are
 judged each; of a near-duplicate group one row stays, the one with the smallest
-id (ties by text). Columns beyond those of documents pass through.
+id (ties by text; a null id comes last). Columns beyond those of documents pass through.
 """
 
 from __future__ import annotations
@@ -43,11 +43,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest id of every group of near duplicates."""
-    found = near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keep.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Keep one row of every group of near duplicates, the first by id (nulls last)
+    and text. Rows are numbered in that order and joined by their number, so ids may
+    repeat or be null; of equal rows any may be the first."""
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    # equal rows are dealt by a random number, so that a row with many copies is not one task
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text"), F.col(row)]
+    ordered = docs.withColumn(row, F.rand(7)).orderBy(*order)
+    numbered = materialise(ordered.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
+    first = near_duplicates(numbered, key=row).where(F.col(row) == F.col("component_id")).select(row)
+    return numbered.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

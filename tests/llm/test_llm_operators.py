@@ -379,6 +379,20 @@ def test_pipeline_equals_its_operators(spark, sf_dir):
     assert {r.doc_id for r in four.select("doc_id").distinct().collect()} == {r.doc_id for r in three.select("doc_id").collect()} <= {d for d, _ in rows}
 
 
+def test_one_row_of_a_near_duplicate_group_stays(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    def text(name, *ends):
+        return [" ".join([f"{name}{i}" for i in range(60)] + [end]) for end in ends]
+
+    (a,), (b, b1), (c, c1), (d, d1, d2), (e,), (f,) = text("a", "x"), text("b", "x", "y"), text("c", "x", "y"), text("d", "x", "y", "z"), text("e", "x"), text("f", "x")
+    rows = [(5, a), (5, b), (3, b1), (7, c1), (7, c), (None, d), (None, d1), (9, d2), (None, e), (None, e), (11, f), (11, f), (None, None)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row long").withColumn("a.b", F.lit(1))
+    out = cp.near_duplicate_join(spark, df.repartition(4), sf_dir)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == sorted([(5, a), (3, b1), (7, c), (9, d2), (0, e), (11, f), (0, "")])
+
+
 def test_linked_sets_share_the_prefix_tokens_that_the_bound_asks_for():
     from tablight.llm.jaccard import DEN, NUM, needed
 
