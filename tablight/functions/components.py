@@ -8,9 +8,10 @@ Each star step is one aggregate (the smallest neighbour of every node) and
 one join. After a few rounds most edges of a giant component hang on one node, so
 the join is salted for nodes of high degree: there are at most ``2 * HOT_SHARE``
 nodes with more than |E| / HOT_SHARE edge ends, a bound that holds for any graph
-and makes their list safe to broadcast. The edge set is checkpointed to the
-cluster's checkpoint folder after every step, so lineage stays short and a lost
-executor recomputes one step. A round that leaves the edge count and two hash
+and makes their list safe to broadcast. Every step is written to the cluster's
+checkpoint folder and read back (``functions.rounds``), so lineage and the
+planner's size estimates stay small and a lost executor recomputes one step;
+superseded steps are deleted. A round that leaves the edge count and two hash
 sums unchanged is the last; every component is then a star around its smallest
 node.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablight.session import ensure_checkpoint_dir
+from tablight.functions.rounds import drop_written, written
 
 HOT_SHARE, SALTS = 256, 32
 
@@ -45,16 +46,17 @@ def _with_min(e: DataFrame, smallest: DataFrame, n_edges: int) -> DataFrame:
 
 def _large_star(e: DataFrame, n_edges: int) -> DataFrame:
     """Every strictly larger neighbour of v is linked to min(v, neighbours of v)."""
-    m = e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m"), F.count(F.lit(1)).alias("degree")).checkpoint()
-    return _with_min(e.where(F.col("dst") > F.col("src")), m, n_edges).select(F.col("dst").alias("a"), F.col("m").alias("b"))
+    m = e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    linked = _with_min(e.where(F.col("dst") > F.col("src")), m, n_edges).select(F.col("dst").alias("a"), F.col("m").alias("b"))
+    return written(_sym(linked), "components-large")
 
 
 def _small_star(e: DataFrame, n_edges: int) -> DataFrame:
     """v and its not-larger neighbours are linked to the smallest of them."""
     le = e.where(F.col("dst") <= F.col("src"))
-    m = le.groupBy("src").agg(F.min("dst").alias("m"), F.count(F.lit(1)).alias("degree")).checkpoint()
+    m = le.groupBy("src").agg(F.min("dst").alias("m"), F.count(F.lit(1)).alias("degree"))
     linked = _with_min(le, m, n_edges).select(F.col("dst").alias("a"), F.col("m").alias("b"))
-    return linked.unionByName(m.select(F.col("src").alias("a"), F.col("m").alias("b")))
+    return written(_sym(linked.unionByName(m.select(F.col("src").alias("a"), F.col("m").alias("b")))), "components-small")
 
 
 def _state(e: DataFrame) -> tuple:
@@ -68,15 +70,15 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     """nodes(node long), edges(a long, b long) -> (node, comp): comp is the
     smallest node of the component (a node without edges is its own).
     ``max_rounds`` is far above what any graph needs; passing it raises."""
-    ensure_checkpoint_dir(nodes.sparkSession)
-    e = _sym(edges.select("a", "b")).checkpoint()
+    e = written(_sym(edges.select("a", "b")), "components-edges")
     state = _state(e)
     for _ in range(max_rounds):
         if not state[0]:
             break
-        large = _sym(_large_star(e, state[0])).checkpoint()
-        e = _sym(_small_star(large, state[0])).checkpoint()
-        before, state = state, _state(e)
+        large = _large_star(e, state[0])
+        small = _small_star(large, state[0])
+        drop_written(e, large)
+        before, e, state = state, small, _state(small)
         if state == before:
             break
     else:

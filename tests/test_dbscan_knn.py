@@ -160,3 +160,18 @@ def test_connected_components_long_chain(spark):
     assert all(got[n] == 1000 for n in chain)
     assert got[5000] == got[5001] == got[5002] == 5000
     assert got[7000] == 7000 and got[9000] == 9000
+
+
+def test_iterated_tables_keep_small_size_estimates(spark):
+    """A join per round on a table that is written each round: the planner's
+    estimate stays that of the files, whatever the number of rounds."""
+    from tablight.functions.rounds import drop_written, size_estimate, written
+
+    e = written(spark.range(200).selectExpr("id AS src", "id + 1 AS dst"), "test-rounds")
+    for _ in range(6):
+        m = e.groupBy("src").agg({"dst": "min"}).withColumnRenamed("min(dst)", "m")
+        new = written(e.join(m, "src").selectExpr("m AS src", "dst + 1 AS dst"), "test-rounds")
+        drop_written(e)
+        e = new
+    assert size_estimate(e) < 2**50
+    assert e.count() == 200
