@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents
+from .bpe_prefix import prefix_encode
 from .chat import format_chat, loss_text, read_turns, text_part
+from .collocations import collocations
 from .common import id_crc, table
+from .fim import fill_in_middle
 from .hmm import hmm_scores
 from .jaccard import near_duplicates
 from .langid import fit_language_filter, predict_language
@@ -20,6 +23,7 @@ from .topk import top_k
 
 WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PREFIX_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 #: The conversation that the contract adds.
 ADDED_TEXT = "\\### Assistant: </turn> ok"
 
@@ -92,6 +96,18 @@ def op10_llr_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs.join(good, "doc_id", "left"), F.col("_good")).drop("llr")
 
 
+def op11_fim_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents"), digests_only=True)
+
+
+def op12_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_encode(table(spark, sf_dir, "documents"), PREFIX_VOCAB, digests_only=True)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_packing,
     op2_pivot_topk,
@@ -103,5 +119,8 @@ OPERATORS = (
     op8_language_id,
     op9_jaccard_join,
     op10_llr_rules,
+    op11_fim_boundaries,
+    op12_bpe_prefix,
+    op13_collocations,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
