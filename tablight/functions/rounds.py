@@ -37,4 +37,4 @@ def drop_written(*tables: DataFrame) -> None:
 
 def size_estimate(df: DataFrame) -> int:
     """The planner's estimate of the bytes of ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
