@@ -140,6 +140,25 @@ def q_dbscan_embeddings(spark, sf):
     return dbscan.dbscan(e, KNN_EPS, KNN_MIN_SAMPLES, "embedding", "vec_id")
 
 
+SEARCH_EPS, SEARCH_MIN = dbscan.eps_grid(0.3, 1.1, 0.1), list(range(3, 10))
+BENCH_EPS, BENCH_MIN = dbscan.eps_grid(0.5, 2.0, 0.1), [5]
+
+
+def q_dbscan_core_counts_embeddings(spark, sf):
+    """Core rows of every setting of both search grids, from one pass."""
+    e = table(spark, sf, "embeddings")
+    wide = sorted({*SEARCH_EPS, *BENCH_EPS})
+    return dbscan.core_counts(e, wide, SEARCH_MIN, "embedding", "vec_id")
+
+
+def q_dbscan_search_survey(spark, sf):
+    """All 8 x 7 settings (eps 0.3 to 1.0, min_samples 3 to 9) with their silhouettes."""
+    p = _prep_unsup(spark, sf)
+    best = dbscan.dbscan_search(p.all_rows, SEARCH_EPS, SEARCH_MIN, "features", "row_id")
+    chosen = (F.col("eps") == F.lit(best["eps"])) & (F.col("min_samples") == F.lit(best["min_samples"]))
+    return r6(best["tried"].withColumn("best", F.coalesce(chosen, F.lit(False))))
+
+
 def q_cluster_summary_dbscan_embeddings(spark, sf):
     return cluster.cluster_summary(q_dbscan_embeddings(spark, sf), "cluster")
 
@@ -181,6 +200,7 @@ def q_cluster_stability_survey(spark, sf):
     rows = [
         ("KMeans", float(cluster.kmeans_stability(p.all_rows, 3, seeds))),
         ("KMeans++", float(cluster.kmeans_stability(p.all_rows, 6, seeds, plus_plus=True))),
+        ("DBSCAN", float(cluster.dbscan_stability(p.all_rows, 0.7, 4, seeds))),
     ]
     return r6(spark.createDataFrame(rows, "method string, stability double"))
 
@@ -194,11 +214,18 @@ def q_cluster_projection_survey(spark, sf):
 def q_clustering_leaderboard_survey(spark, sf):
     p = _prep_unsup(spark, sf)
     res = workflows.clustering_benchmark(
-        p, "row_id", 3, 6, eps_list=[0.7], min_samples=[4], min_clusters=1, drop_noise=False, stability_seeds=[0, 1, 2, 3, 4]
+        p, "row_id", 3, 6, eps_list=SEARCH_EPS, min_samples=SEARCH_MIN, min_clusters=1, drop_noise=False,
+        stability_seeds=[0, 1, 2, 3, 4],
     )
     return r6(res["leaderboard"])
 
 
+def q_clustering_benchmark_survey(spark, sf):
+    """The straight-line benchmark: 15 eps from 0.5 to 1.9, noise left out of the silhouette."""
+    p = _prep_unsup(spark, sf)
+    return r6(workflows.clustering_benchmark(p, "row_id", eps_list=BENCH_EPS, min_samples=BENCH_MIN)["leaderboard"])
+
+
 def _emb_vectors(spark, sf):
     from pyspark.ml.functions import array_to_vector
 
@@ -264,6 +291,9 @@ QUERIES = {
     "dbscan_neighbors_embeddings": q_dbscan_neighbors_embeddings,
     "dbscan_embeddings": q_dbscan_embeddings,
     "cluster_summary_dbscan_embeddings": q_cluster_summary_dbscan_embeddings,
+    "dbscan_core_counts_embeddings": q_dbscan_core_counts_embeddings,
+    "dbscan_search_survey": q_dbscan_search_survey,
+    "clustering_benchmark_survey": q_clustering_benchmark_survey,
     "dbscan_survey": q_dbscan_survey,
     "kmeans_survey": q_kmeans_survey,
     "kmeans_pp_survey": q_kmeans_pp_survey,

@@ -453,6 +453,13 @@ SELECT vec_id, count_if(d2 <= 1.15 * 1.15) AS n_neighbors, count_if(d2 <= 1.15 *
 FROM p GROUP BY vec_id""",
 }
 
+SQL_MODELS["dbscan_core_counts_embeddings"] = f"""WITH p AS (
+  SELECT a.vec_id, {_D2.format(a='a.embedding', b='b.embedding')} AS d2 FROM embeddings a CROSS JOIN embeddings b),
+e AS (SELECT CAST(i AS DOUBLE) / 10 AS eps FROM range(3, 20) r(i)),
+n AS (SELECT p.vec_id, e.eps, count_if(p.d2 <= e.eps * e.eps) AS n FROM p CROSS JOIN e GROUP BY ALL),
+m AS (SELECT CAST(i AS INTEGER) AS min_samples FROM range(3, 10) r(i))
+SELECT n.eps, m.min_samples, CAST(count_if(n.n >= m.min_samples) AS BIGINT) AS n_core FROM n CROSS JOIN m GROUP BY ALL"""
+
 SQL_MODELS["dbscan_embeddings"] = f"""WITH RECURSIVE
 nb AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a CROSS JOIN embeddings b

@@ -160,8 +160,8 @@ def clustering_benchmark(
             "n_clusters": best["n_clusters"] if best["eps"] is not None else "N/A",
             "has_outliers": True if best["eps"] is not None else "N/A",
             "silhouette": best["silhouette"] if best["eps"] is not None else "N/A",
-            # DBSCAN is deterministic: repeated runs give the same cluster count
-            "stability": 0.0 if stability_seeds and best["eps"] is not None else None,
+            "stability": cluster.dbscan_stability(df, best["eps"], best["min_samples"], stability_seeds, "features", key)
+            if stability_seeds and best["eps"] is not None else None,
         }
     )
     return {"leaderboard": leaderboard.clustering_leaderboard(df.sparkSession, rows), "dbscan": best}

@@ -175,3 +175,98 @@ def test_iterated_tables_keep_small_size_estimates(spark):
         e = new
     assert size_estimate(e) < 2**50
     assert e.count() == 200
+
+
+def _survey_like(n, seed=11):
+    """Dense and sparse parts, copies, and a few far rows in 3 dimensions."""
+    rng = np.random.default_rng(seed)
+    a = rng.normal(0, 0.25, (n // 3, 3))
+    b = rng.normal(3, 0.5, (n // 3, 3))
+    c = rng.uniform(-4, 6, (n - 2 * (n // 3) - 20, 3))
+    X = np.vstack([a, b, c, np.repeat(a[:1], 20, axis=0)])
+    keys = rng.permutation(np.arange(1000, 1000 + len(X)))
+    return X, keys
+
+
+@pytest.mark.parametrize("block_rows", [40, 1024])
+def test_dbscan_levels_match_brute_force_for_every_setting(spark, block_rows):
+    from tablight.operators.dbscan import _labelled, dbscan_levels, setting_summary
+
+    X, keys = _survey_like(500)
+    df = spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(keys, X)], "row_id long, features array<double>")
+    eps, mins = [0.3, 0.45, 0.6, 0.9], [3, 5, 9]
+    found = dbscan_levels(df, eps, mins, "features", "row_id", block_rows)
+    summary = setting_summary(found)
+    for i, e in enumerate(eps):
+        for j, m in enumerate(mins):
+            want, core = brute_dbscan(X, keys, e, m)
+            got = {r["row_id"]: (r["cluster"], r["is_core"]) for r in _labelled(found, found.setting(i, j), "row_id").collect()}
+            assert got == {int(k): (want[k], core[k]) for k in keys}
+            labels = [got[int(k)][0] for k in keys]
+            assert summary[found.setting(i, j)] == (len(set(labels) - {-1}), labels.count(-1))
+
+
+def test_dense_cell_is_not_paired_with_itself(spark):
+    """3000 rows in one fine cell: no chunk pair, whole counts, one cluster."""
+    from tablight.functions.tiles import make_tiles
+    from tablight.operators.dbscan import dbscan, neighbour_counts
+
+    rng = np.random.default_rng(2)
+    X = np.vstack([rng.uniform(0.4, 0.45, (3000, 2)), rng.uniform(5, 9, (30, 2))])
+    rows = [(str(i), x.tolist()) for i, x in enumerate(X)]  # text keys
+    df = spark.createDataFrame(rows, "row_id string, features array<double>")
+    tiles = make_tiles(df.selectExpr("cast(row_id as long) AS idx", "features AS vec"), 0.5, 0.5, 4, 256)
+    dense = tiles.rows.where("own > 0")
+    assert dense.count() == 3000 and dense.select("chunk").distinct().count() == 12
+    near = tiles.candidates.join(dense.select("chunk").distinct(), "chunk").count()
+    assert near == 0
+    n = {r["key"]: r["n"] for r in neighbour_counts(df, "features", "row_id", [0.5], 256).collect()}
+    d2 = ((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+    assert n == {str(i): int(c) for i, c in enumerate((d2 <= 0.25).sum(axis=1))}
+    got = dbscan(df, 0.5, 4, "features", "row_id", 256)
+    assert got.where("cluster = 0 AND is_core").count() == 3000
+
+
+def test_many_silhouettes_equal_one_by_one(spark):
+    from tablight.operators.cluster import silhouette_many
+
+    rng = np.random.default_rng(8)
+    X = np.vstack([rng.normal(c, 0.4, (60, 2)) for c in (0, 2, 5)])
+    labelings = {0: rng.integers(-1, 4, 180), 1: np.repeat([0, 1, 2], 60), 3: np.where(rng.random(180) < 0.9, -1, 0), 4: np.arange(180)}
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "idx long, vec array<double>")
+    labels = spark.createDataFrame(
+        [(s, i, int(c)) for s, ls in labelings.items() for i, c in enumerate(ls) if c >= 0], "setting int, idx long, cluster int"
+    )
+    d = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2))
+    for drop in (False, True):
+        got = silhouette_many(rows, labels, {s: int(ls.max()) + 1 for s, ls in labelings.items()}, drop, block_rows=50)
+        for s, ls in labelings.items():
+            use = np.flatnonzero(ls >= 0) if drop else np.arange(180)
+            lab, dd = ls[use], d[np.ix_(use, use)]
+            kinds = np.unique(lab)
+            if not 2 <= len(kinds) <= len(lab) - 1:
+                assert got[s] is None
+                continue
+            vals = []
+            for i in range(len(lab)):
+                same = lab == lab[i]
+                if same.sum() == 1:
+                    vals.append(0.0)
+                    continue
+                a = dd[i, same].sum() / (same.sum() - 1)
+                b = min(dd[i, lab == k].mean() for k in kinds if k != lab[i])
+                vals.append((b - a) / max(a, b))
+            assert got[s] == pytest.approx(np.mean(vals), abs=1e-9)
+
+
+def test_level_forest_keeps_components_of_every_level():
+    from tablight.functions.forest import level_forest, min_labels
+
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 300, (2, 2000))
+    level = rng.integers(0, 9, 2000).astype(np.int32)
+    fa, fb, fl = level_forest(a, b, level)
+    assert len(fa) < 300
+    for e in range(9):
+        want = min_labels(a[level <= e], b[level <= e], 300)
+        assert np.array_equal(min_labels(fa[fl <= e], fb[fl <= e], 300), want)
