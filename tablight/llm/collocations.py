@@ -1,11 +1,12 @@
 """Phrase collocations from sorted count streams.
 
 Words are counted per language; those that occur ``min_count`` times get ids, and
-every other word ends a phrase (no frequent phrase holds it). Each word position
-gives one window: its word and up to four after it. All further counts come from
-sorted streams that are read in order, never from tables of phrases by hash:
+every other word ends a phrase (no frequent phrase holds it). Pairs of neighbours
+are counted next, then windows of three to five words all of whose pairs are frequent.
+All counts come from sorted streams that are read in order, never from tables of
+phrases by hash:
 
-* Windows in prefix order (range partitions, sorted by their words): the windows
+* Pairs and windows in prefix order (range partitions, sorted by their words): those
   that start with a phrase are neighbours, so run sums at every depth are the counts
   of all phrases. A run that touches the edge of a partition gives a partial sum;
   partial sums are added up before the threshold.
@@ -25,6 +26,9 @@ between them is too. Scores are Python integers.
 Word ids follow frequency. The ``dictionary`` most frequent ones are broadcast; a
 word beyond them is rare by construction (at most one ``dictionary``-th of all
 words), and its id comes by a join with the distinct words of a block of rows.
+Frequent pairs are broadcast as a sorted array while there are at most ``PAIRS``
+(16 MB); beyond, windows are not shortened by them, which costs rows but changes no
+count.
 
 Defined results. Null text: no words. Null language: ``und``. Repeated rows count
 each. Empty table, or no phrase of ``min_count``: no rows. Ties in rank go by count,
@@ -49,7 +53,8 @@ from .common import chunks, materialise, release, ship
 
 MIN_COUNT, MAX_WORDS, LIMIT, COVER_PERCENT = 100, 5, 2000, 100
 DICTIONARY, WORD_BYTES = 500_000, 256
-FLUSH_WORDS, FLUSH_WINDOWS = 400_000, 1_000_000
+FLUSH_WORDS, FLUSH_IDS = 400_000, 8_000_000
+PAIRS = 2_000_000
 _WIDTH = 31  # bits of an id: two ids make a long
 #: A-Z in lower case; piece ends as line breaks; tabs as blanks.
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -97,14 +102,38 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def windows_of(ids: np.ndarray, max_words: int) -> np.ndarray:
-    """Windows (rows of ``max_words`` ids, 0 after their end) with two words or more,
-    one for each place in ``ids``, where 0 ends a phrase."""
-    out = np.zeros((max_words, len(ids)), np.int64)
-    out[0] = ids
-    for k in range(1, min(max_words, len(ids))):
-        out[k, : len(ids) - k] = np.where(out[k - 1, : len(ids) - k] > 0, ids[k:], 0)
-    return out[:, out[1] > 0]
+def _ranks(ids: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
+    """For each place, the rank (from 1; 0: none) of the frequent phrase of
+    ``len(known) + 1`` words that starts there. Array k of ``known`` is sorted and holds
+    the rank of the first k + 1 words and the id of the next as one number."""
+    rank = ids
+    for k, array in enumerate(known):
+        key = np.where(rank[: len(ids) - k - 1] > 0, (rank[: len(ids) - k - 1] << _WIDTH) | ids[k + 1 :], -1)
+        at = np.searchsorted(array, key)
+        hit = at < len(array)
+        hit[hit] = array[at[hit]] == key[hit]
+        rank = np.zeros(len(ids), np.int64)
+        rank[: len(key)] = np.where(hit, at + 1, 0)
+    return rank
+
+
+def windows_of(ids: np.ndarray, max_words: int, known: list[np.ndarray]) -> np.ndarray:
+    """Windows (rows of ``max_words`` ids, 0 after their end), one for each place in
+    ``ids``, where 0 ends a phrase: all their parts of ``len(known) + 1`` words are
+    frequent, and they have more words than these."""
+    n, part = len(ids), len(known) + 1
+    out = np.zeros((max_words, n), np.int64)
+    if n <= part:
+        return out[:, :0]
+    go = _ranks(ids, known) > 0
+    alive = go.copy()
+    for k in range(max_words):
+        if k >= part:
+            step = k - part + 1
+            alive[: max(n - step, 0)] &= go[step:]
+            alive[max(n - step, 0) :] = False
+        out[k, : max(n - k, 0)] = np.where(alive[: max(n - k, 0)], ids[k:], 0)
+    return out[:, out[part] > 0]
 
 
 def _packed(w: np.ndarray) -> list[np.ndarray]:
@@ -125,16 +154,21 @@ def _sorted_counts(cols: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarr
     return [c[at] for c in cols], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
-def window_counts(docs: DataFrame, dictionary: dict[str, dict[bytes, int]], max_words: int, extra: DataFrame | None = None) -> DataFrame:
+def window_counts(
+    docs: DataFrame, dictionary: dict[str, dict[bytes, int]], max_words: int, extra: DataFrame | None = None, known: list[np.ndarray] | None = None
+) -> DataFrame:
     """(g0, g1, ..., n): distinct windows of each task with their counts. ``extra``
     holds ids of words outside the dictionary by block: (block, lang, word, id)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(dictionary)
+    frequent = spark.sparkContext.broadcast(known or [])
     names = _GRAM[: (max_words + 1) // 2]
     schema = ", ".join(f"{g} long" for g in names) + ", n long"
 
     def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
-        cols, n = _sorted_counts(_packed(np.concatenate(held, axis=1)), np.ones(sum(h.shape[1] for h in held), np.int64))
+        packed = [np.concatenate(c) for c in zip(*held, strict=True)]
+        held.clear()
+        cols, n = _sorted_counts(packed, np.ones(len(packed[0]), np.int64))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, n)], names=[*names, "n"])
 
     def counted(parts: Iterator[tuple[dict[bytes, int], list[bytes]]]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +178,12 @@ def window_counts(docs: DataFrame, dictionary: dict[str, dict[bytes, int]], max_
             for raw in texts:
                 found.append(np.fromiter(map(ids.get, filter(None, tokens(raw)), repeat(0)), np.int64))
                 found.append(np.zeros(1, np.int64))
-            w = windows_of(np.concatenate(found), max_words)
-            held.append(w)
-            size += w.shape[1]
-            if size > FLUSH_WINDOWS:
+            w = windows_of(np.concatenate(found), max_words, frequent.value)
+            held.append(_packed(w))
+            size += w.size
+            if size > FLUSH_IDS:
                 yield flushed(held)
-                held, size = [], 0
+                size = 0
         if size:
             yield flushed(held)
 
@@ -197,9 +231,9 @@ def ids_beyond(docs: DataFrame, outside: DataFrame, dictionary: dict[str, dict[b
     return words.join(outside, ["lang", "word"]).select("block", "lang", "word", "id")
 
 
-def phrase_counts(windows: DataFrame, min_count: int, max_words: int) -> DataFrame:
-    """(w array<int>, n) of every phrase of two words or more with ``min_count``:
-    run sums over the windows in prefix order."""
+def phrase_counts(windows: DataFrame, min_count: int, min_words: int, max_words: int) -> DataFrame:
+    """(w array<int>, n) of every phrase of ``min_words`` to ``max_words`` words with
+    ``min_count``: run sums over the windows in prefix order."""
     names = _GRAM[: (max_words + 1) // 2]
     low = (1 << _WIDTH) - 1
 
@@ -220,9 +254,10 @@ def phrase_counts(windows: DataFrame, min_count: int, max_words: int) -> DataFra
             rows: list[tuple[tuple[int, ...], int]] = []
             change = np.zeros(b.num_rows, bool)
             change[0] = True
-            change[1:] |= w[0, 1:] != w[0, :-1]
-            for k in range(2, max_words + 1):
+            for k in range(1, max_words + 1):
                 change[1:] |= w[k - 1, 1:] != w[k - 1, :-1]
+                if k < min_words:
+                    continue
                 at = np.flatnonzero(change)
                 sums = np.add.reduceat(n, at)
                 whole = w[k - 1, at] > 0  # windows that end earlier are no phrase of k words
@@ -329,17 +364,33 @@ def collocations(
         held.setdefault(r["lang"], {})[r["word"].encode()] = r["id"]
     outside = vocab.where((F.col("id") > dictionary) | (F.octet_length("word") > WORD_BYTES))
     if outside.isEmpty():
-        outside = None
-        found = window_counts(sel, held, max_words)
+        outside, rows, extra = None, sel, None
     else:
         # block numbers are stored with the rows: they must not change when a task runs again
-        stored = materialise(sel.withColumn("block", F.expr("monotonically_increasing_id() div 64")), "phrases-rows")
-        found = window_counts(stored, held, max_words, ids_beyond(stored, outside, held))
-    windows = materialise(found, "phrases-windows")
-    long_phrases = phrase_counts(windows, min_count, max_words)
+        rows = materialise(sel.withColumn("block", F.expr("monotonically_increasing_id() div 64")), "phrases-rows")
+        extra = ids_beyond(rows, outside, held)
+    known: list[np.ndarray] = []
+    found, top = [], min(2, max_words)
+    while True:
+        windows = materialise(window_counts(rows, held, top, extra, known), "phrases-windows")
+        counted = materialise(phrase_counts(windows, min_count, len(known) + 2, top), "phrases-counted")
+        release(windows)
+        if top == max_words:
+            found.append(counted)
+            break
+        if counted.count() > PAIRS:
+            top = max_words  # counts again what this step counted
+            continue
+        found.append(counted)
+        w = counted.select(*[F.col("w")[k].cast("long").alias(f"w{k}") for k in range(top)]).toPandas().to_numpy(np.int64)
+        rank = _ranks(w[:, : top - 1].ravel(), known)[:: top - 1] if len(w) else w[:, 0]
+        known.append(np.sort((rank << _WIDTH) | w[:, -1]))
+        top = max_words
+    long_phrases = found[0]
+    for more in found[1:]:
+        long_phrases = long_phrases.unionByName(more)
     single = vocab.select(F.array(F.col("id").cast("int")).alias("w"), "n")
     phrases = materialise(long_phrases.unionByName(single), "phrases-counts")
-    release(windows)
 
     prefix = materialise(stream_pass(phrases), "phrases-prefix")
     reverse = phrases.select(F.reverse("w").alias("w"), "n")

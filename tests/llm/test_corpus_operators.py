@@ -181,8 +181,9 @@ def phrase_rows(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("dictionary", [500_000, 4, 0])
-def test_collocations_equal_brute_force(spark, dictionary):
+@pytest.mark.parametrize("dictionary, pairs", [(500_000, 4_000_000), (500_000, 3), (4, 4_000_000), (0, 4_000_000)])
+def test_collocations_equal_brute_force(spark, dictionary, pairs, monkeypatch):
+    monkeypatch.setattr("tablight.llm.collocations.PAIRS", pairs)
     rows = phrase_rows()
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(7).withColumn("w", F.lit(1)).withColumn("n", F.lit(2)).withColumn("block", F.lit(3))
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
