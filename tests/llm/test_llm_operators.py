@@ -91,7 +91,6 @@ def test_bpe_rows(spark, reference):
 def test_word_ids_equal_the_library(text):
     if not hasattr(test_word_ids_equal_the_library, "both"):
         tok = Tokenizer.from_file(WORDS)
-        tok.encode_special_tokens = True
         test_word_ids_equal_the_library.both = tok, packing.WordIds(open(WORDS, encoding="utf-8").read())
     tok, mine = test_word_ids_equal_the_library.both
     assert list(np.frombuffer(mine.ids(text.encode()), "<u4")) == tok.encode(text, add_special_tokens=False).ids
@@ -107,7 +106,6 @@ def test_added_tokens_get_the_ids_of_the_library():
 
 def test_packing_covers_every_id_once(spark):
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     rows = DIRTY + [(100 + i, "some more words here " * (i * 7 % 90 + 1)) for i in range(200)]
     out = packing.pack(dirty(spark, rows), WORDS).collect()
     want = collections.Counter()
