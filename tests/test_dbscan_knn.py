@@ -144,7 +144,8 @@ def test_knn_ties_break_on_train_key(spark):
         assert [t for _, t in sorted(got[keys[i]])] == exp
 
 
-def test_connected_components_long_chain(spark):
+@pytest.mark.parametrize("slice_edges", [500_000, 40])  # one run holds all edges; rounds after many runs
+def test_connected_components_long_chain(spark, slice_edges):
     from tablight.functions.components import connected_components
 
     rng = np.random.default_rng(4)
@@ -155,6 +156,7 @@ def test_connected_components_long_chain(spark):
     comps = connected_components(
         spark.createDataFrame([(n,) for n in nodes], "node long"),
         spark.createDataFrame(edges, "a long, b long"),
+        slice_edges=slice_edges,
     )
     got = {r["node"]: r["comp"] for r in comps.collect()}
     assert all(got[n] == 1000 for n in chain)
