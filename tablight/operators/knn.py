@@ -1,12 +1,11 @@
 """Exact k-nearest-neighbour classification (Euclidean), with a k search by
 cross-validated accuracy.
 
-Neighbours are found by blocked pairing (``functions.blocks``): each
-(query block, train block) task computes exact distances in numpy and keeps
-the k best per query row, so a task emits k rows per query instead of all
-pairs. A window over (query, candidates) -- at most k x train blocks rows per
-query -- then keeps the global k best. Distance ties go to the lower train
-key; vote ties go to the smallest class, as scikit-learn's vote does.
+Neighbours are found by ``functions.nearest``: distances on the first principal
+axes bound the whole distance, so a query meets only the blocks of train rows that
+can hold one of its k nearest, and few pairs are computed on all axes. Distance
+ties go to the lower train key; vote ties go to the smallest class, as
+scikit-learn's vote does.
 
 For the k search the largest k is ranked once, with train rows masked when
 they share the query's fold, and every smaller k reuses a prefix.
@@ -16,24 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablight.functions.blocks import as_matrix, empty_frame, pair_blocks, sq_distances
-
-NEIGHBOR_SCHEMA = T.StructType(
-    [
-        T.StructField("qkey", T.LongType()),
-        T.StructField("tkey", T.LongType()),
-        T.StructField("d2", T.DoubleType()),
-        T.StructField("tlabel", T.DoubleType()),
-    ]
-)
-
+from tablight.functions.nearest import Found, nearest_rows
+from tablight.functions.ranking import global_rank
+from tablight.functions.rounds import written
 
 def is_vector(df: DataFrame, name: str) -> bool:
     from pyspark.ml.linalg import VectorUDT
@@ -50,87 +39,67 @@ def as_array(col: str | Column, df: DataFrame) -> Column:
     return c.cast("array<double>")
 
 
-def _top_k(d2: np.ndarray, tk: np.ndarray, k: int):
-    """Per row of ``d2``: indices of the k smallest distances, ties broken by
-    the lower train key, infinite (masked) entries dropped.
+def _numbered_keys(train: DataFrame, query: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Both sides with integer keys. Integer keys stay as they are; keys of another
+    sortable type are numbered in their order, and the dictionary (num, key) is returned."""
+    kinds = [x.schema["key"].dataType for x in (train, query)]
+    if all(isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for t in kinds):
+        return *[x.withColumn("key", F.col("key").cast("long")) for x in (train, query)], None
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"keys of different types: {kinds[0].simpleString()}, {kinds[1].simpleString()}")
+    names = train.select("key").unionByName(query.select("key")).where("key IS NOT NULL").distinct()
+    names = written(global_rank(names, [F.col("key")], rank_col="num").select("num", "key"), "knn-keys")
+    return *[x.join(names, "key").drop("key").withColumnRenamed("num", "key") for x in (train, query)], names
 
-    Vectorised: argpartition finds k candidates per row and a k-wide lexsort
-    orders them. Only rows whose k-th distance is tied with entries left out
-    fall back to a full per-row lexsort, so the result is exact.
-    """
-    m, n = d2.shape
-    kk = min(k, n)
-    if kk == 0:
-        return
-    idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < n else np.tile(np.arange(n), (m, 1))
-    vals = np.take_along_axis(d2, idx, axis=1)
-    kth = vals.max(axis=1)
-    n_le = (d2 <= kth[:, None]).sum(axis=1)
-    order = np.lexsort((tk[idx], vals), axis=1)
-    idx = np.take_along_axis(idx, order, axis=1)
-    for i in range(m):
-        if n_le[i] > kk:  # ties at the boundary: decide them by train key
-            sel = np.lexsort((tk, d2[i]))[:kk]
-        else:
-            sel = idx[i]
-        yield i, sel[np.isfinite(d2[i, sel])]
-
-
-def _kernel(k: int, exclude_self: bool, use_folds: bool):
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return empty_frame(NEIGHBOR_SCHEMA)
-        Q, Tm = as_matrix(q["vec"]), as_matrix(t["vec"])
-        qk = q["key"].to_numpy(np.int64)
-        tk = t["key"].to_numpy(np.int64)
-        tl = t["label"].to_numpy(np.float64)
-        qf = q["fold"].to_numpy() if use_folds else None
-        tf = t["fold"].to_numpy() if use_folds else None
-        out_q, out_t, out_d, out_l = [], [], [], []
-        for s, d2 in sq_distances(Q, Tm):
-            if exclude_self:
-                d2 = np.where(qk[s : s + d2.shape[0], None] == tk[None, :], np.inf, d2)
-            if use_folds:
-                d2 = np.where(qf[s : s + d2.shape[0], None] == tf[None, :], np.inf, d2)
-            for i, order in _top_k(d2, tk, k):
-                out_q.append(np.full(len(order), qk[s + i], dtype=np.int64))
-                out_t.append(tk[order])
-                out_d.append(d2[i, order])
-                out_l.append(tl[order])
-        if not out_q:
-            return empty_frame(NEIGHBOR_SCHEMA)
-        return pd.DataFrame(
-            {
-                "qkey": np.concatenate(out_q),
-                "tkey": np.concatenate(out_t),
-                "d2": np.concatenate(out_d),
-                "tlabel": np.concatenate(out_l),
-            }
-        )
-
-    return fn
+
+def _folds(fold: str | None, df: DataFrame, side: int) -> Column:
+    """Folds as numbers that two rows share only if both have that fold."""
+    if fold is None:
+        return F.lit(side).cast("long")
+    whole = isinstance(df.schema[fold].dataType, T.IntegralType)
+    return F.when(F.col(fold).isNull(), F.lit(-1 - side).cast("long")).otherwise(F.col(fold).cast("long") if whole else F.xxhash64(fold))
+
+
+def _find(train: DataFrame, query: DataFrame, k: int, features: str, train_key: str, query_key: str, label: str, fold: str | None, exclude_self: bool, block_rows: int) -> tuple[Found | None, DataFrame | None]:
+    t = train.select(
+        F.col(train_key).alias("key"), as_array(features, train).alias("vec"),
+        F.col(label).cast("double").alias("label"), _folds(fold, train, 0).alias("fold"),
+    )
+    q = query.select(F.col(query_key).alias("key"), as_array(features, query).alias("vec"), _folds(fold, query, 1).alias("fold"))
+    t, q, names = _numbered_keys(t, q)
+    return nearest_rows(t, q, k, exclude_self, block_rows), names
 
 
 def knn_neighbors(
     train: DataFrame, query: DataFrame, k: int, features: str, train_key: str, query_key: str,
     label: str = "label", fold: str | None = None, exclude_self: bool = False, block_rows: int = 2048,
 ) -> DataFrame:
-    """qkey, rank (0-based), tkey, distance, tlabel for the k nearest train rows."""
-    t = train.select(
-        F.col(train_key).cast("long").alias("key"), as_array(features, train).alias("vec"),
-        F.col(label).cast("double").alias("label"), *([F.col(fold).alias("fold")] if fold else []),
-    )
-    q = query.select(
-        F.col(query_key).cast("long").alias("key"), as_array(features, query).alias("vec"),
-        *([F.col(fold).alias("fold")] if fold else []),
-    )
-    cand = pair_blocks(q, t, "key", "key", _kernel(k, exclude_self, fold is not None), NEIGHBOR_SCHEMA, block_rows)
-    w = Window.partitionBy("qkey").orderBy("d2", "tkey")
-    return (
-        cand.withColumn("rank", F.row_number().over(w) - 1)
-        .where(F.col("rank") < k)
-        .select("qkey", "rank", "tkey", F.sqrt("d2").alias("distance"), "tlabel")
-    )
+    """qkey, rank (0-based), tkey, distance, tlabel for the k nearest train rows.
+
+    Keys are unique, of any sortable type. Rows whose key or vector is null, or whose
+    vector holds a null or non-finite component, take no part; a null fold is
+    shared with no row.
+    """
+    found, names = _find(train, query, k, features, train_key, query_key, label, fold, exclude_self, block_rows)
+    if found is None:
+        empty = f"qkey {query.schema[query_key].dataType.simpleString()}, rank int, tkey {train.schema[train_key].dataType.simpleString()}, distance double, tlabel double"
+        return train.sparkSession.createDataFrame([], empty)
+    rows = found.rows
+    if names is not None:
+        for c in ("qkey", "tkey"):
+            rows = rows.join(names.select(F.col("num").alias(c), F.col("key").alias(f"{c}_name")), c).drop(c).withColumnRenamed(f"{c}_name", c)
+    return rows.select("qkey", "rank", "tkey", F.sqrt("d2").alias("distance"), "tlabel")
+
+
+def knn_work(
+    train: DataFrame, query: DataFrame, k: int, features: str, train_key: str, query_key: str,
+    label: str = "label", fold: str | None = None, exclude_self: bool = False, block_rows: int = 2048,
+) -> DataFrame:
+    """One row: all_pairs, met (pairs that came together in a task) and full (pairs
+    computed on all axes), the work that the bounds left over."""
+    found, _ = _find(train, query, k, features, train_key, query_key, label, fold, exclude_self, block_rows)
+    row = (found.work.all_pairs, found.work.met, found.work.full) if found else (0, 0, 0)
+    return train.sparkSession.createDataFrame([row], "all_pairs long, met long, full long")
 
 
 def vote(neighbors: DataFrame, ks: Sequence[int]) -> DataFrame:
@@ -165,7 +134,7 @@ def knn_search(
     ks = list(ks)
     nb = knn_neighbors(df, df, max(ks), features, key, key, label, fold=fold, block_rows=block_rows)
     pred = vote(nb, ks)
-    truth = df.select(F.col(key).cast("long").alias("qkey"), F.col(label).cast("double").alias("y"), F.col(fold).alias("f"))
+    truth = df.select(F.col(key).alias("qkey"), F.col(label).cast("double").alias("y"), F.col(fold).alias("f"))
     acc = (
         pred.join(truth, "qkey")
         .groupBy("k", "f")

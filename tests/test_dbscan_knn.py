@@ -272,3 +272,57 @@ def test_level_forest_keeps_components_of_every_level():
     for e in range(9):
         want = min_labels(a[level <= e], b[level <= e], 300)
         assert np.array_equal(min_labels(fa[fl <= e], fb[fl <= e], 300), want)
+
+
+def _brute_neighbours(X, keys, queries, k, fold=None):
+    out = {}
+    for i in queries:
+        d2 = ((X - X[i]) ** 2).sum(1)
+        ok = np.ones(len(keys), bool) if fold is None else fold != fold[i]
+        order = np.lexsort((keys[ok], d2[ok]))[:k]
+        out[keys[i]] = list(keys[ok][order])
+    return out
+
+
+def _neighbours(nb):
+    got = {}
+    for r in nb.collect():
+        got.setdefault(r["qkey"], []).append((r["rank"], r["tkey"]))
+    return {q: [t for _, t in sorted(v)] for q, v in got.items()}
+
+
+@pytest.mark.parametrize("d", [1, 5, 24])  # all axes are low; more axes than low ones
+def test_knn_pruned_equals_brute_force(spark, d):
+    """Clusters, exact copies, integer ties and a far row, with folds; most pairs are dropped."""
+    from tablight.operators.knn import knn_work
+
+    rng = np.random.default_rng(d)
+    centres = rng.normal(size=(12, d)) * 50
+    X = np.vstack([centres[rng.integers(0, 12, 900)] + rng.normal(size=(900, d)), np.round(rng.normal(size=(200, d))), np.repeat(centres[:1], 99, axis=0), np.full((1, d), 1e6)])
+    keys = rng.permutation(len(X)).astype(np.int64) * 3 - 500
+    fold = rng.integers(0, 4, len(X))
+    rows = [(int(a), [float(x) for x in v], 1.0, int(f)) for a, v, f in zip(keys, X, fold)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label double, fold int")
+    got = _neighbours(knn_neighbors(df, df, 7, "v", "id", "id", "label", fold="fold", block_rows=50))
+    assert got == _brute_neighbours(X, keys, range(len(X)), 7, fold)
+    if d > 1:
+        work = knn_work(df, df, 7, "v", "id", "id", "label", fold="fold", block_rows=50).first()
+        assert work["all_pairs"] == len(X) ** 2 and work["met"] < 0.5 * len(X) ** 2 and work["full"] < 0.2 * len(X) ** 2
+
+
+def test_knn_edges(spark):
+    """Text keys, own row left out, few rows, bad vectors, null labels and folds, empty tables."""
+    schema = "id string, v array<double>, label double, fold string"
+    rows = [("b", [0.0, 0.0], 1.0, "x"), ("a", [0.0, 0.0], None, None), ("c", [3.0, 4.0], 0.0, "x"), ("d", None, 0.0, "y"),
+            ("e", [float("nan"), 0.0], 0.0, "y"), ("f", [None, 0.0], 0.0, "y"), (None, [0.0, 0.0], 0.0, "y")]
+    df = spark.createDataFrame(rows, schema)
+    out = knn_neighbors(df, df, 5, "v", "id", "id", exclude_self=True)
+    assert _neighbours(out) == {"a": ["b", "c"], "b": ["a", "c"], "c": ["a", "b"]}
+    assert {r["distance"] for r in out.where("qkey = 'c'").collect()} == {5.0}
+    assert {r["tlabel"] for r in out.where("tkey = 'a'").collect()} == {None}
+    assert _neighbours(knn_neighbors(df, df, 5, "v", "id", "id", fold="fold")) == {"a": ["a", "b", "c"], "b": ["a"], "c": ["a"]}
+    none = df.where("id = 'd'")
+    assert knn_neighbors(none, df, 5, "v", "id", "id").collect() == [] == knn_neighbors(df, none, 5, "v", "id", "id").collect()
+    short = spark.createDataFrame([("z", [1.0], 0.0, "x")], schema)
+    with pytest.raises(Exception, match="2 components"):
+        knn_neighbors(df, short, 5, "v", "id", "id")
