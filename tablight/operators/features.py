@@ -115,8 +115,11 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """Feature columns -> one ``VectorUDT`` column (Spark ML input)."""
-    va = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error")
-    return va.transform(df.select(*[F.col(quoted(c)).cast("double").alias(c) if c in cols else F.col(quoted(c)) for c in df.columns])).select(*[F.col(quoted(k)) for k in keep], out)
+    # plain inner names: the assembler reads a dot in a name as a field
+    inner = [f"_x{i}" for i in range(len(cols))]
+    src = df.select(*[F.col(quoted(k)) for k in keep], *[F.col(quoted(c)).cast("double").alias(x) for c, x in zip(cols, inner, strict=True)])
+    va = VectorAssembler(inputCols=inner, outputCol=out, handleInvalid="error")
+    return va.transform(src).select(*[F.col(quoted(k)) for k in keep], out)
 
 
 def select_features(df: DataFrame, drop: Sequence[str]) -> DataFrame:

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablight.operators import association, classifiers, cluster, dbscan, evaluate, features, knn, leaderboard, profile, split, svm
+from tablight.operators import association, classifiers, cluster, dbscan, evaluate, features, knn, leaderboard, profile, split, stages, svm
 
 
 @dataclass
@@ -108,14 +109,30 @@ def fit_predict(name: str, prep: Prepared, key: str, label: str = "label", seed:
         )
     if name == "SVM":
         return svm.svm_rbf(train, C=1.0, gamma="scale", seed=seed, label=label).predict(test, keep=[key], label=label)
-    n = train.count()
-    est = {
+    return classifiers.predict(_estimator(name, train.count(), label, seed).fit(train), test, keep=[key])
+
+
+def _estimator(name: str, n: int, label: str, seed: int):
+    return {
         "Logistic Regression": lambda: classifiers.logistic_regression(n, C=1.0, max_iter=1000, label=label),
         "Random Forest": lambda: classifiers.random_forest(100, None, seed, label=label),
         "Decision Tree": lambda: classifiers.decision_tree(None, seed, label=label),
         "Gradient Boosting": lambda: classifiers.gradient_boosting(100, 6, 0.3, seed, label=label),
     }[name]()
-    return classifiers.predict(est.fit(train), test, keep=[key])
+
+
+def fit_bundle(name: str, prep: Prepared, key: str, label: str = "label", seed: int = 42, fills: dict | None = None) -> PipelineModel:
+    """One of the six models with its preparation as one pipeline, to be saved whole
+    (``stages.save_bundle``). It takes rows of the clean table (with ``fills``: of the
+    mapped one) and adds ``prediction`` and ``probability``."""
+    name = MODEL_ALIASES.get(name, name)
+    if name == "KNN":
+        est = stages.KnnClassifier(k=5, keyCol=key, labelCol=label)
+    elif name == "SVM":
+        est = stages.RbfSvm(C=1.0, gamma="scale", seed=seed, labelCol=label)
+    else:
+        est = _estimator(name, prep.train.count(), label, seed)
+    return stages.bundle(fills, prep.encoder, prep.scaler, [key, label], est.fit(prep.train))
 
 
 def supervised_benchmark(prep: Prepared, key: str, label: str = "label", models: Sequence[str] = MODEL_NAMES) -> dict:
