@@ -16,11 +16,12 @@ bounded groups (query salt, block); scores are exact integers (doubles while
 below 2^53, else Python integers; a score beyond 64 bits raises). The table of annuli has n_pivots * n_rings
 rows at most, so its broadcast is bounded.
 
-Defined results. Vectors null or with null or non-finite components take no part;
-shorter vectors count as padded with zeros. Equal vectors tie by id. Repeated ids
-are different candidates, but a query never finds rows of its own id; rows of one
-query id with different vectors are one query each, ranked together by id. Empty
-table: no rows.
+Defined results. Vectors null or with null or non-finite components take no part,
+nor do rows with a null id, which no result could name; ids of other types than
+integers raise. Shorter vectors count as padded with zeros. Equal vectors tie by id.
+Repeated ids are different candidates, but a query never finds rows of its own id;
+equal rows of one query id are one query, rows of one query id with different
+vectors are one query each, ranked together by id. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise, ship
 
@@ -69,7 +71,9 @@ def top_k(vectors: DataFrame, is_query: F.Column, key: str = "vec_id", vec: str
     """(query_id, rank, key, score): per query its ``k`` best other rows."""
     spark = vectors.sparkSession
     ship(spark)
-    rows = vectors.where(_usable(vec)).select(
+    if not isinstance(vectors.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} must be an integer column")
+    rows = vectors.where(_usable(vec) & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), F.transform(F.col(vec), lambda x: F.floor(x.cast("double") * scale)).alias("v")
     )
     facts = rows.agg(F.max(F.size("v")).alias("dim"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("top")).first()
@@ -117,7 +121,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, key: str = "vec_id", vec: str
     salts = spark.createDataFrame(rings[["ring", "salts"]].astype("int64"))
     blocks = ringed.join(F.broadcast(salts), "ring").select("ring", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id", "v")
     blocks = materialise(blocks, "topk-blocks")
-    queries = indexed.where("q").select("id", "v")
+    queries = indexed.where("q").select("id", "v").distinct()
     q_salts = max(1, -(-queries.count() // BLOCK))
 
     def plan(first: bool):  # noqa: ANN202
@@ -146,7 +150,9 @@ def top_k(vectors: DataFrame, is_query: F.Column, key: str = "vec_id", vec: str
 
     def visit(asked: DataFrame) -> DataFrame:
         asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_salts") - 1))).withColumn("qs", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(q_salts)))
-        here = blocks.withColumn("qs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_salts - 1).cast("long"))))
+        # a block is sent only to the query groups that open its annulus
+        opened = asked.select("ring", "qs").distinct().groupBy("ring").agg(F.collect_list("qs").alias("all_qs"))
+        here = blocks.join(opened, "ring").select("ring", "salt", "id", "v", F.explode("all_qs").alias("qs"))
 
         def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             if not len(a) or not len(b):

@@ -184,6 +184,15 @@ def test_top_k_equals_brute_force(spark, big):
     assert topk.top_k(df.where("vec_id < 0"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_repeated_and_null_ids(spark):
+    rows = [(20, [1.0, 0.0])] * 3 + [(None, [9.0, 9.0])] + [(i, [float(i), 1.0]) for i in range(1, 9)] + [(5, [5.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id) for r in topk.top_k(df, F.col("vec_id") == 20, k=6).orderBy("rank").collect()]
+    assert got == list(enumerate([8, 7, 6, 5, 5, 4], 1))
+    with pytest.raises(TypeError):
+        topk.top_k(df.withColumn("vec_id", F.col("vec_id").cast("string")), F.lit(True))
+
+
 def brute_components(rows, width=5):
     sets = []
     for _, t in rows:
