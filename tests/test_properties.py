@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablight.functions.quantiles import column_modes, exact_quantiles
 from tablight.functions.ranking import global_rank, running_sums
-from tablight.operators.evaluate import classification_report, confusion_matrix, roc_auc, roc_curve
+from tablight.operators.evaluate import auc_from_points, classification_report, confusion_matrix, roc_auc, roc_curve
 from tablight.operators.features import standardize
 from tablight.operators.split import stratified_folds, train_test_split
 
@@ -90,6 +90,27 @@ def test_confusion_and_report(frame):
     assert rep["accuracy"]["precision"] is None and rep["accuracy"]["support"] == len(pdf)
 
 
+def test_reports_of_many_classes_and_odd_ones(spark):
+    n = 5000  # class i is predicted right when i is even, else as class i - 1
+    many = spark.range(2 * n).select((F.col("id") % n).alias("y"), (F.col("id") % n - F.col("id") % 2).cast("double").alias("p"))
+    rep = {r["class"]: r for r in classification_report(many, "y", "p").collect()}
+    assert len(rep) == n + 3 and rep["accuracy"]["f1"] == 0.5 and rep["accuracy"]["support"] == 2 * n
+    assert (rep["10"]["precision"], rep["10"]["recall"], rep["11"]["f1"]) == (0.5, 1.0, 0.0)
+    assert confusion_matrix(many, "y", "p", dense=False).count() == n
+    odd = spark.createDataFrame([("a", "a"), (None, "a"), (None, None), ("b", None)], "label string, prediction string")
+    cm = [tuple(r) for r in confusion_matrix(odd).collect()]
+    assert cm == [(y, p, int((y, p) in {("a", "a"), (None, "a"), (None, None), ("b", None)})) for y in ("a", "b", None) for p in ("a", "b", None)]
+    assert [r["class"] for r in classification_report(odd).collect()] == ["a", "b", None, "accuracy", "macro avg", "weighted avg"]
+    empty = classification_report(odd.limit(0)).collect()
+    assert [tuple(r) for r in empty] == [("accuracy", None, None, 0.0, 0), ("macro avg", 0.0, 0.0, 0.0, 0), ("weighted avg", 0.0, 0.0, 0.0, 0)]
+    assert confusion_matrix(odd.limit(0)).collect() == []
+
+
+def test_auc_from_points_equals_auc(frame):
+    _, df = frame
+    assert auc_from_points(roc_curve(df, "y", "x", 1)) == pytest.approx(roc_auc(df, "y", "x", 1), abs=1e-12)
+
+
 def test_exact_quantiles_vs_numpy(spark):
     rng = np.random.default_rng(2)
     v = np.concatenate([rng.lognormal(3, 2, 5000), np.full(2500, 7.25), rng.integers(0, 50, 500)])
