@@ -11,7 +11,9 @@ merges in rank order gives, in time linear in the piece.
 
 ``BpeTables`` is built once on the driver (its size is that of the vocabulary)
 and broadcast; tasks build the automaton from it. Pieces come from the
-tokenizer's split pattern; each task keeps a bounded memo of pieces seen.
+tokenizer's split pattern. Each task keeps a bounded memo of pieces with their
+ids in decimal and the bytes that these ids decode to, in two generations: a
+full one becomes the older, and pieces found there move to the younger.
 """
 
 from __future__ import annotations
@@ -19,8 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, ship
 
-MEMO_PIECES = 200_000
+MEMO_PIECES = 400_000  # in each of two generations
 MEMO_PAIRS = 1_000_000
 MEMO_PIECE_CHARS = 64
 
@@ -99,8 +100,9 @@ class BpeCodec:
             self.auto.make_automaton()
         self.sizes = {i: len(b) for i, b in tables.token.items()}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.digits = {i: str(i) for i in tables.token}
+        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.digits = {i: str(i).encode() for i in tables.token}
 
     def compatible(self, a: int, b: int) -> bool:
         key = (a, b)
@@ -166,21 +168,29 @@ class BpeCodec:
                 pos -= sizes[cand]
         return tuple(out)
 
+    def _look_up(self, p: str) -> tuple[bytes, bytes]:
+        """Decimal ids and decoded bytes of a piece that the memo lacks."""
+        known = self.older.get(p)
+        if known is None:
+            ids = self.piece(p.encode())
+            known = b",".join(map(self.digits.__getitem__, ids)), self.decode(ids)
+        if len(p) <= MEMO_PIECE_CHARS:
+            self.memo[p] = known
+        return known
+
+    def written(self, text: str) -> tuple[bytes, bytes]:
+        """(ids in decimal, joined by commas; decoded bytes) of a text."""
+        if len(self.memo) >= MEMO_PIECES:
+            self.older, self.memo = self.memo, {}
+        get, look_up = self.memo.get, self._look_up
+        found = [get(p) or look_up(p) for p in self.split(text)]
+        return b",".join([ids for ids, _ in found]), b"".join([raw for _, raw in found])
+
     def encode(self, text: str) -> list[int]:
-        memo = self.memo
-        found = []
-        for p in self.split(text):
-            ids = memo.get(p)
-            if ids is None:
-                ids = self.piece(p.encode())
-                if len(p) <= MEMO_PIECE_CHARS:
-                    if len(memo) >= MEMO_PIECES:
-                        memo.clear()
-                    memo[p] = ids
-            found.append(ids)
-        return list(chain.from_iterable(found))
-
-    def decode(self, ids: list[int]) -> bytes:
+        ids, _ = self.written(text)
+        return list(map(int, ids.split(b","))) if ids else []
+
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.t.token.__getitem__, ids))
 
 
@@ -205,17 +215,15 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, key: str =
         if codec is None:
             _CODEC.clear()
             codec = _CODEC[name] = BpeCodec(tables.value, pattern)
-        digits = codec.digits
         for part, texts in chunks(batches, "_text"):
             n, ids_hex, dec_hex, all_ids, all_dec = [], [], [], [], []
             for raw in texts:
-                ids = codec.encode(raw.decode())
-                back = codec.decode(ids)
-                n.append(len(ids))
-                ids_hex.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
+                ids, back = codec.written(raw.decode())
+                n.append(ids.count(b",") + 1 if ids else 0)
+                ids_hex.append(hashlib.sha256(ids).hexdigest())
                 dec_hex.append(hashlib.sha256(back).hexdigest())
                 if not digests_only:
-                    all_ids.append(ids)
+                    all_ids.append(list(map(int, ids.split(b","))) if ids else [])
                     all_dec.append(back)
             cols = [part.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(dec_hex, pa.string())]
             names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
