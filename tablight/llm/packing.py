@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,12 +61,28 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(vocab)
+        added = self.tok.get_added_tokens_decoder().items()
+        marks = [(t.content.encode(), i) for i, t in sorted(added) if len(t.content) > 2 and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.between = marks[0] if marks and all(t.content.encode()[:2] == marks[0][0][:2] for _, t in added) else None
         self.memo: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        """Ids of each word. Words that cannot hold an added token go to the library as one
+        text with an added token between them, which it matches before all else."""
+        plain = [w for w in words if self.between is not None and self.between[0][:2] not in w]
+        out = {}
+        if plain:
+            text, mark = self.between
+            raw = array("I", self.tok.encode_batch_fast([text.join(plain).decode()], add_special_tokens=False)[0].ids)
+            at = 0
+            for w, end in zip(plain, [*np.flatnonzero(np.frombuffer(raw, np.uint32) == mark).tolist(), len(raw)], strict=True):
+                out[w] = raw[at:end].tobytes()
+                at = end + 1
+        rest = [w for w in words if w not in out]
+        found = self.tok.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False) if rest else []
+        out.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
+        return [out[w] for w in words]
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
@@ -77,26 +94,34 @@ class WordIds:
         return (stem, word[len(stem) :]) if last < "\u0250" and last.isalnum() else (word, b"")
 
     def ids(self, text: bytes) -> bytes:
-        words = text.lower().split()  # of bytes: A-Z; space, \t, \n, \r, \x0b, \f
-        if b"<|" in text:
-            words = [raw if b"<|" in raw else w for raw, w in zip(text.split(), words, strict=True)]
+        return next(self.ids_of([text]))
+
+    def ids_of(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each text; the words of all ``texts`` that the memo lacks are encoded in one call."""
         memo, stems = self.memo, self.stems
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            pass
         if len(memo) > MEMO_WORDS:
             memo.clear()
         if len(stems) > MEMO_STEMS:
             stems.clear()
-        new = {w: self._parts(w) for w in dict.fromkeys(words) if w not in memo}
-        want = [p for p in dict.fromkeys(p for parts in new.values() for p in parts) if p and p not in stems]
-        fresh = dict(zip(want, self._encode(want), strict=True))
+        split = [self._words(t) for t in texts]
+        known = [list(map(memo.get, words)) for words in split]
+        new = {w: self._parts(w) for words, ids in zip(split, known, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
+        want = [p for p in {p for parts in new.values() for p in parts} if p and p not in stems]
+        fresh = dict(zip(want, self._encode(want), strict=True)) if want else {}
         fresh[b""] = b""
-        found = {w: (fresh[s] if s in fresh else stems[s]) + (fresh[t] if t in fresh else stems[t]) for w, (s, t) in new.items()}
+        for w, (stem, tail) in new.items():
+            new[w] = (fresh[stem] if stem in fresh else stems[stem]) + (fresh[tail] if tail in fresh else stems[tail])
         stems.update((s, i) for s, i in fresh.items() if len(s) <= MEMO_WORD_BYTES)
-        memo.update((w, i) for w, i in found.items() if len(w) <= MEMO_WORD_BYTES)
-        return b"".join([found[w] if w in found else memo[w] for w in words])
+        memo.update((w, i) for w, i in new.items() if len(w) <= MEMO_WORD_BYTES)
+        for words, ids in zip(split, known, strict=True):
+            yield b"".join([new[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids)
+
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        words = text.lower().split()  # of bytes: A-Z; space, \t, \n, \r, \x0b, \f
+        if b"<|" in text:
+            words = [raw if b"<|" in raw else w for raw, w in zip(text.split(), words, strict=True)]
+        return words
 
 
 _IDS: dict[str, WordIds] = {}
@@ -119,8 +144,8 @@ def cut_documents(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: s
         end = END_ID.to_bytes(4, "little")
         for part, texts in chunks(batches, "_text"):
             row, start, length, crc, total, pieces = [], [], [], [], [], []
-            for i, raw in enumerate(texts):
-                ids = enc.ids(raw) + end
+            for i, ids in enumerate(enc.ids_of(texts)):
+                ids += end
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
                     row.append(i)
