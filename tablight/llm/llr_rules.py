@@ -2,8 +2,8 @@
 
 The base rules count words, symbols, repeated lines and words in repeated
 three-word windows of each text with array functions on the row itself. The
-method compares two multinomials over hashed n-grams of words (``n`` = 1 or 2):
-one of a trusted target (documents with a trusted label), one of the raw corpus
+method compares two multinomials over hashed n-grams of words, of all orders up to
+``n`` (1 or 2): one of a trusted target (documents with a trusted label), one of the raw corpus
 (all documents). A document's verdict is its mean log ratio per n-gram, at least
 ``threshold``: length-normalised and deterministic.
 
@@ -16,9 +16,9 @@ Defined results. Null text: empty, no words, base_failed. Repeated rows are
 counted and returned each. Texts without n-grams score 0. Empty trusted set: all
 ratios 0, the method keeps everything. Other columns are ignored.
 
-Repeated windows: a text whose window hashes are all distinct has none. Else each window is packed as 37 hash bits and 26 bits of place,
-sorted as long values; equal neighbours are compared word by word, so a
-collision of the 37 bits marks nothing by itself.
+Repeated windows: a text whose window hashes are all distinct has none. Else the pairs of 64-bit hash
+and place are sorted; equal neighbours are compared word by word, so a collision
+marks nothing by itself.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ SYMBOLS = r"[#*$%&|<>]+"
 N_BUCKETS = 1 << 17
 SMOOTH = 10.0
 THRESHOLD = -0.15
-_PLACE_BITS = 26
 
 
 def _words(text: Column) -> Column:
@@ -44,24 +43,17 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     t = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn("_t", t).withColumn("_w", _words(F.col("_t")))
-    low = (1 << _PLACE_BITS) - 1
     word = lambda i: F.get(F.col("_w"), i.cast("int"))
     places = F.when(F.size("_w") >= 3, F.sequence(F.lit(0), F.size("_w") - 3)).otherwise(F.array().cast("array<int>"))
     out = out.withColumn("_v", F.transform(places, lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))))
-    packed = F.transform(F.col("_v"), lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(i.cast("long")))
-    none = F.array().cast("array<bigint>")
-    out = out.withColumn("_s", F.when(F.size(F.array_distinct("_v")) < F.size("_v"), F.sort_array(packed)).otherwise(none))
+    placed = F.transform(F.col("_v"), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    out = out.withColumn("_s", F.when(F.size(F.array_distinct("_v")) < F.size("_v"), F.sort_array(placed)).otherwise(none))
     at = lambda i: F.get(F.col("_s"), i)
-    place = lambda v: v.bitwiseAND(F.lit(low))
 
     def same(a: Column, b: Column) -> Column:
-        p, q = place(a), place(b)
-        return (
-            (F.shiftright(a, _PLACE_BITS) == F.shiftright(b, _PLACE_BITS))
-            & (word(p) == word(q))
-            & (word(p + 1) == word(q + 1))
-            & (word(p + 2) == word(q + 2))
-        )
+        p, q = a["i"], b["i"]
+        return (a["h"] == b["h"]) & (word(p) == word(q)) & (word(p + 1) == word(q + 1)) & (word(p + 2) == word(q + 2))
 
     repeated = F.sort_array(
         F.transform(
@@ -69,7 +61,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 F.col("_s"),
                 lambda v, i: F.coalesce(same(v, at(i - 1)), F.lit(False)) | F.coalesce(same(v, at(i + 1)), F.lit(False)),
             ),
-            place,
+            lambda v: v["i"],
         )
     )
     out = out.withColumn("_r", repeated)
@@ -84,7 +76,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.aggregate(
             F.transform(
                 F.col("_r"),
-                lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(F.col("_r"), i + 1) - p, F.lit(3).cast("long"))),
+                lambda p, i: F.least(F.lit(3), F.coalesce(F.get(F.col("_r"), i + 1) - p, F.lit(3))).cast("long"),
             ),
             F.lit(0).cast("long"),
             lambda a, x: a + x,
@@ -92,19 +84,22 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def ngram_buckets(docs: DataFrame, keep: list[str], text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS) -> DataFrame:
-    """(keep, bucket): one row per n-gram of words, all in generated code."""
-    words = F.split(F.coalesce(F.col(text), F.lit("")), SPACE)
-    rows = docs.select(*keep, words.alias("_w"))
-    if n == 2:
-        pairs = F.arrays_zip(F.slice("_w", 1, F.size("_w") - 1).alias("a"), F.slice("_w", 2, F.size("_w") - 1).alias("b"))
-        rows = rows.select(*keep, F.explode(pairs).alias("_g")).where("_g.a != '' AND _g.b != ''")
-    else:
+def ngram_buckets(docs: DataFrame, keep: list[str], text: str = "text", n: int = 2, n_buckets: int = N_BUCKETS) -> DataFrame:
+    """(keep, bucket): one row per word and, for ``n`` = 2, per pair of neighbours, all in generated code."""
+    if n not in (1, 2):
+        raise ValueError("n is 1 or 2")
+    rows = docs.select(*keep, F.split(F.coalesce(F.col(text), F.lit("")), SPACE).alias("_w"))
+    bucket = lambda *g: F.pmod(F.xxhash64(*g), F.lit(n_buckets)).cast("int")
+    if n == 1:
         rows = rows.select(*keep, F.explode("_w").alias("_g")).where("_g != ''")
-    return rows.select(*keep, F.pmod(F.xxhash64("_g"), F.lit(n_buckets)).cast("int").alias("bucket"))
+        return rows.select(*keep, bucket("_g").alias("bucket"))
+    pairs = F.arrays_zip(F.col("_w").alias("a"), F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0))).alias("b"))
+    rows = rows.select(*keep, F.explode(pairs).alias("_g")).where("_g.a != ''")
+    both = F.array(bucket("_g.a"), F.when(F.col("_g.b") != "", bucket("_g.a", "_g.b")))
+    return rows.select(*keep, F.explode(both).alias("bucket")).where("bucket IS NOT NULL")
 
 
-def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS, smooth: float = SMOOTH) -> DataFrame:
+def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 2, n_buckets: int = N_BUCKETS, smooth: float = SMOOTH) -> DataFrame:
     """(bucket, weight): log ratio of the trusted to the raw multinomial, for
     every bucket that occurs. ``trusted`` is a boolean column of ``docs``. Each
     bucket gets ``smooth`` extra grams in the target and as many, relatively, in
@@ -120,7 +115,7 @@ def fit_llr(docs: DataFrame, trusted: Column, text: str = "text", n: int = 1, n_
     return counts.select("bucket", F.log(ratio).alias("weight"))
 
 
-def llr_scores(docs: DataFrame, weights: DataFrame, keys: list[str], text: str = "text", n: int = 1, n_buckets: int = N_BUCKETS) -> DataFrame:
+def llr_scores(docs: DataFrame, weights: DataFrame, keys: list[str], text: str = "text", n: int = 2, n_buckets: int = N_BUCKETS) -> DataFrame:
     """(keys, llr): mean weight of the n-grams of the rows with these keys; no row
     where there are no n-grams. The keys name the text (an id and a text hash)."""
     grams = ngram_buckets(docs, keys, text, n, n_buckets)
@@ -132,7 +127,7 @@ def quality_rules(
     trusted: Column,
     key: str = "doc_id",
     text: str = "text",
-    n: int = 1,
+    n: int = 2,
     n_buckets: int = N_BUCKETS,
     threshold: float = THRESHOLD,
     min_words: int = 50,

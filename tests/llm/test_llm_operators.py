@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import struct
 import zlib
 
@@ -13,6 +14,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -349,6 +351,49 @@ def test_rules_equal_python(spark):
     assert llr_rules.quality_rules(dirty(spark, []), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("n, buckets", [(1, 64), (2, 64), (2, 1 << 17)])
+def test_kept_equals_a_plain_log_ratio(spark, n, buckets):
+    rng = random.Random(n + buckets)
+    rows = [*DIRTY, *DIRTY[:2]]
+    for i in range(80):
+        pool = [f"{'good' if i % 3 else 'spam'}{rng.randrange(40)}" for _ in range(30)] + ["the", "of", "\u00e9t\u00e9"]
+        rows.append((400 + i, " ".join(rng.choice(pool) for _ in range(rng.randrange(40, 120))) + rng.choice(["", " ", "\n"])))
+    trusted = F.coalesce((F.col("doc_id") >= 400) & (F.pmod("doc_id", F.lit(3)) != 400 % 3), F.lit(False))
+
+    def grams(text):
+        w = [x.encode() for x in re.split("[ \t\n\x0b\x0c\r]+", text or "") if x]
+        found = [xxhash.xxh64_intdigest(a, seed=42) for a in w]
+        if n == 2:
+            found += [xxhash.xxh64_intdigest(b, seed=xxhash.xxh64_intdigest(a, seed=42)) for a, b in zip(w, w[1:], strict=False)]
+        return [(h - (1 << 64) if h >> 63 else h) % buckets for h in found]
+
+    raw, target = collections.Counter(), collections.Counter()
+    for d, t in rows:
+        raw.update(grams(t))
+        if d is not None and d >= 400 and d % 3 != 400 % 3:
+            target.update(grams(t))
+    share = target.total() / raw.total()
+    weight = {b: math.log((target[b] + 10) / (raw[b] * share + 10)) for b in raw}
+    want = []
+    for d, t in rows:
+        g = grams(t)
+        want.append((d or 0, round(sum(weight[b] for b in g) / len(g), 9) if g else 0.0))
+    out = llr_rules.quality_rules(dirty(spark, rows), trusted, n=n, n_buckets=buckets).collect()
+    assert sorted((r.doc_id or 0, round(r.llr, 9)) for r in out) == sorted(want)
+    assert all(r.kept == (not r.base_failed and r.llr >= llr_rules.THRESHOLD) for r in out)
+    assert buckets == 64 or {r.kept for r in out if not r.base_failed} == {True, False}
+
+
+def test_rules_keep_clean_documents_and_drop_the_rest(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("_good", F.lit(True))
+    out = llr_rules.quality_rules(docs.join(good, "doc_id", "left"), F.col("_good")).join(labels, "doc_id").where("NOT base_failed")
+    n = {(r.quality, r.kept): r.n for r in out.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
+    assert n.get((1, True), 0) >= 0.99 * (n.get((1, True), 0) + n.get((1, False), 0))
+    assert n.get((0, True), 0) <= 0.05 * (n.get((0, True), 0) + n.get((0, False), 0))
+
+
 def test_license_rules(spark):
     t = licenses.TEXTS
     rows = [
