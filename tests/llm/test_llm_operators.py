@@ -384,16 +384,6 @@ def test_kept_equals_a_plain_log_ratio(spark, n, buckets):
     assert buckets == 64 or {r.kept for r in out if not r.base_failed} == {True, False}
 
 
-def test_rules_keep_clean_documents_and_drop_the_rest(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("_good", F.lit(True))
-    out = llr_rules.quality_rules(docs.join(good, "doc_id", "left"), F.col("_good")).join(labels, "doc_id").where("NOT base_failed")
-    n = {(r.quality, r.kept): r.n for r in out.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
-    assert n.get((1, True), 0) >= 0.99 * (n.get((1, True), 0) + n.get((1, False), 0))
-    assert n.get((0, True), 0) <= 0.05 * (n.get((0, True), 0) + n.get((0, False), 0))
-
-
 def test_license_rules(spark):
     t = licenses.TEXTS
     rows = [
