@@ -68,7 +68,7 @@ STAGES = [
     ("near_duplicate_join", near_duplicate_join),
     ("packing", packing),
 ]
-#: Learned models and tokenizers decide; tests hold run() against a brute-force version.
+#: Learned models and tokenizers decide; tests hold the stages, not run() as a whole, against their operators.
 ORACLE_SQL = None
 
 
