@@ -326,3 +326,23 @@ def test_knn_edges(spark):
     short = spark.createDataFrame([("z", [1.0], 0.0, "x")], schema)
     with pytest.raises(Exception, match="2 components"):
         knn_neighbors(df, short, 5, "v", "id", "id")
+
+
+def test_chunks_of_many_categories_meet_few_rows(spark):
+    """Categories as dummies on more axes than three: a chunk meets rows of its own
+    category, not most of the table."""
+    from tablight.functions.tiles import make_tiles, near_pairs
+
+    rng = np.random.default_rng(12)
+    X = np.hstack([np.eye(12)[rng.integers(0, 12, 4000)] * 4, rng.normal(size=(4000, 3))])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "idx long, vec array<double>")
+    tiles = make_tiles(df, 0.3, 0.3, 4, 64)
+    n = tiles.rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    assert n.agg(F.max("n")).first()[0] <= 64
+    homes = tiles.homes.join(n, "chunk").select("tile", F.col("n").alias("h"))
+    met = tiles.candidates.join(n, "chunk").join(homes, "tile").agg(F.sum(F.col("n") * F.col("h"))).first()[0]
+    assert met < 0.14 * len(X) ** 2
+    d2 = ((X[:300, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+    i, j, got = near_pairs(X[:300], X, 0.09)
+    assert set(zip(i.tolist(), j.tolist())) == set(zip(*(v.tolist() for v in np.nonzero(d2 <= 0.09))))
+    assert np.allclose(got, d2[i, j])
