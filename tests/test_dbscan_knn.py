@@ -346,3 +346,12 @@ def test_chunks_of_many_categories_meet_few_rows(spark):
     i, j, got = near_pairs(X[:300], X, 0.09)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(v.tolist() for v in np.nonzero(d2 <= 0.09))))
     assert np.allclose(got, d2[i, j])
+
+
+def test_dbscan_plans_broadcast_no_rows(spark):
+    """Labels take few bytes a row; they must not go through the driver for that."""
+    from tablight.operators.dbscan import dbscan
+
+    df = spark.range(3000).selectExpr("id AS row_id", "array(cast(id % 50 AS double), cast(id % 7 AS double)) AS features")
+    plan = dbscan(df, 0.5, 4, "features", "row_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
