@@ -169,10 +169,15 @@ BOX_SCHEMA = (
 )
 
 
+def _with_fences(rows: DataFrame, fences: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(fences), "_k")
+
+
 def box_stats(df: DataFrame, value: str, by: str | None = None, whis: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (furthest values inside whis x IQR) and outlier
     counts per group. Quartiles are exact; the second pass is one aggregate
-    over the rows joined with the table of fences (one row per group). Rows with
+    over the rows joined with the broadcast table of fences (one row per group, as
+    many as ``exact_quantiles`` allows), so no group is sorted in one task. Rows with
     a null group or a missing value are left out; no row left: an empty result."""
     by_cols = [by] if by else []
     if by:
@@ -187,7 +192,7 @@ def box_stats(df: DataFrame, value: str, by: str | None = None, whis: float = 1.
         edges = [(g[0], q[0.25] - whis * (q[0.75] - q[0.25]), q[0.75] + whis * (q[0.75] - q[0.25])) for g, q in qt.items()]
         fences = df.sparkSession.createDataFrame(edges, f"_k {kind}, _lo double, _hi double")
         lo_f, hi_f = F.col("_lo"), F.col("_hi")
-        grouped = df.select(_c(by).alias("_k"), _c(value)).join(fences, "_k").groupBy("_k")
+        grouped = _with_fences(df.select(_c(by).alias("_k"), _c(value)), fences).groupBy("_k")
     else:
         (q,) = qt.values()
         lo_f = F.lit(q[0.25] - whis * (q[0.75] - q[0.25]))

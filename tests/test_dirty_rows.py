@@ -71,3 +71,13 @@ def test_star_component_is_salted(spark):
 def test_no_edges(spark):
     out = connected_components(spark.range(3).withColumnRenamed("id", "node"), spark.createDataFrame([], "a long, b long"))
     assert sorted(map(tuple, out.collect())) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_box_stats_sorts_no_group_in_one_task(spark):
+    """Rows of a large group stay where they are when they meet the fences."""
+    from tablight.operators.profile import _with_fences
+
+    rows = spark.range(100).selectExpr("id % 3 AS _k", "id AS v")
+    fences = spark.createDataFrame([(k, 0.0, 1.0) for k in range(3)], "_k long, _lo double, _hi double")
+    plan = _with_fences(rows, fences)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
