@@ -355,3 +355,20 @@ def test_dbscan_plans_broadcast_no_rows(spark):
     df = spark.range(3000).selectExpr("id AS row_id", "array(cast(id % 50 AS double), cast(id % 7 AS double)) AS features")
     plan = dbscan(df, 0.5, 4, "features", "row_id")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_silhouette_copies_the_table_once_a_block(spark):
+    """Many rows, a single row and equal rows against brute force; a block sees all rows in
+    one stream, so blocks are not paired with blocks."""
+    from tablight.operators.cluster import silhouette_per_row
+
+    rng = np.random.default_rng(15)
+    X = np.vstack([rng.normal(size=(2040, 3)), np.zeros((8, 3))])
+    lab = np.where(np.arange(2048) == 7, 99, rng.integers(0, 4, 2048))
+    rows = [(i, x.tolist(), int(c)) for i, (x, c) in enumerate(zip(X, lab))]
+    per = silhouette_per_row(spark.createDataFrame(rows, "id long, v array<double>, c long"), "v", "c", "id")
+    got = per.collect()
+    assert len(got) == 2048 and [r["silhouette"] for r in got if r["key"] == 7] == [0.0]
+    assert abs(np.mean([r["silhouette"] for r in got]) - brute_silhouette(X, lab)) < 1e-9
+    plan = per._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" not in plan and "MapInArrow" in plan
