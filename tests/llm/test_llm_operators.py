@@ -20,7 +20,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablight.llm import bpe, hmm, langid, licenses, llr_rules, packing, quality_pu, topk
+from tablight.llm import bpe, hmm, langid, licenses, llr_rules, packing, quality_pu, queries, topk
 from tablight.llm.chat import escape, format_chat, loss_text, read_turns, text_part, unescape
 from tablight.llm.jaccard import near_duplicates
 
@@ -457,3 +457,13 @@ def test_linked_sets_share_the_prefix_tokens_that_the_bound_asks_for():
             assert 1 <= least <= shared
             tight += least == shared
     assert linked > 500 and tight > 50
+
+
+def test_trusted_documents_are_merge_joined_at_every_size(spark, sf_dir):
+    """A broadcast of the labels at small sizes would hide the shuffle of the texts."""
+    docs = queries.trusted_documents(spark, sf_dir)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    good = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
+    assert {r.doc_id for r in docs.where("_good").select("doc_id").collect()} == good & {r.doc_id for r in docs.select("doc_id").collect()}
+    assert docs.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
