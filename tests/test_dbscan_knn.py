@@ -372,3 +372,25 @@ def test_silhouette_copies_the_table_once_a_block(spark):
     assert abs(np.mean([r["silhouette"] for r in got]) - brute_silhouette(X, lab)) < 1e-9
     plan = per._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInPandas" not in plan and "MapInArrow" in plan
+
+
+def test_knn_copies_a_row_to_few_blocks(spark):
+    """Where nothing is pruned, a query goes to about 24 blocks, not to every leaf."""
+    from tablight.functions import nearest
+
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(1600, 24))
+    keys = np.arange(1600, dtype=np.int64) - 40
+    schema = "key long, vec array<double>, label double, fold long"
+    df = spark.createDataFrame([(int(a), v.tolist(), 1.0, int(a) % 4) for a, v in zip(keys, X)], schema)
+    rows, _, leaves = nearest._indexed(df, 24, 16)
+    assert len(leaves.number) > 64 and rows.select("block").distinct().count() <= 40
+    got = _neighbours(knn_neighbors(df, df, 7, "vec", "key", "key", "label", fold="fold", block_rows=16))
+    assert got == _brute_neighbours(X, keys, range(1600), 7, keys % 4)
+
+
+def test_leaves_are_dealt_to_blocks():
+    from tablight.functions.nearest import _dealt
+
+    first, parts = _dealt([3, 4, 4, 25, 2, 8, 1], 10)
+    assert first.tolist() == [0, 0, 1, 2, 5, 5, 6] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1]
