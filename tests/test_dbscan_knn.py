@@ -394,3 +394,27 @@ def test_leaves_are_dealt_to_blocks():
 
     first, parts = _dealt([3, 4, 4, 25, 2, 8, 1], 10)
     assert first.tolist() == [0, 0, 1, 2, 5, 5, 6] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1]
+
+
+def test_dbscan_copies_a_row_to_few_loads(spark):
+    """All rows are near all chunks: a row is shuffled to about 16 loads, not to a tile of
+    each chunk, and all settings still equal brute force."""
+    from tablight.functions.tiles import make_tiles, tile_stream
+    from tablight.operators.dbscan import _labelled, dbscan_levels, neighbour_counts
+
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(1600, 6))
+    X /= np.sqrt((X**2).sum(axis=1, keepdims=True))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "idx long, vec array<double>")
+    tiles = make_tiles(df, 0.9, 0.9, 4, 16)
+    assert tiles.rows.select("chunk").distinct().count() > 96
+    assert tile_stream(tiles).count() < 24 * len(X)
+    d2 = ((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+    eps = [0.25, 0.9]
+    n = {(r["key"], r["eps_idx"]): r["n"] for r in neighbour_counts(df, "vec", "idx", eps, 16).collect()}
+    assert n == {(i, e): int((d2[i] <= eps[e] ** 2).sum()) for i in range(len(X)) for e in (0, 1)}
+    found = dbscan_levels(df, eps, [4], "vec", "idx", 16)
+    for e in (0, 1):
+        want, core = brute_dbscan(X, np.arange(len(X)), eps[e], 4)
+        got = {r["idx"]: (r["cluster"], r["is_core"]) for r in _labelled(found, found.setting(e, 0), "idx").collect()}
+        assert got == {i: (want[i], core[i]) for i in range(len(X))}
