@@ -26,7 +26,9 @@ needs no padding.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,17 +44,22 @@ from .common import chunks, materialise, ship
 
 CAPACITY, UNIT, GAP = 4096, 8, 5e-4
 END_ID = 2
-MEMO_WORDS, MEMO_STEMS = 1_200_000, 1_000_000
+MEMO_WORDS = 1_200_000
 MEMO_WORD_BYTES = 64
+_BLANKS = b" \t\n\x0b\x0c\r"  # what ``bytes.split`` cuts at
 _TAIL = b".,;:!?%&#$*|()\"'-"
+_IS_BLANK, _IS_TAIL = (np.isin(np.arange(256), list(some)) for some in (_BLANKS, _TAIL))
+_IS_ALNUM = np.array([chr(c).isalnum() and chr(c).lower().isalnum() for c in range(0x250)])  # lower case of U+0130 ends in a mark
+_ONE_PIECE = re.compile("[a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch  # Latin letters
 
 
 class WordIds:
     """Ids of texts by a lower-casing ``tokenizers`` file whose pieces never span
     white space, nor letters and punctuation: the ids of a text are those of its
     blank-separated stretches in order, and those of a stretch are its stem's and
-    its closing punctuation's. Both are encoded once and kept in bounded memos as
-    little-endian bytes. The file's added tokens (``<|endoftext|>``) get their own id
+    its closing punctuation's. The stems and closings of many texts are numbered at
+    once (Arrow's dictionary encoding); each different one is encoded once and kept in
+    a bounded memo as little-endian bytes. The file's added tokens (``<|endoftext|>``) get their own id
     where a text holds them as written, as the library has it; they are matched
     before lower-casing, so stretches that may hold one are not lower-cased here."""
 
@@ -64,14 +71,27 @@ class WordIds:
         added = self.tok.get_added_tokens_decoder().items()
         marks = [(t.content.encode(), i) for i, t in sorted(added) if len(t.content) > 2 and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between = marks[0] if marks and all(t.content.encode()[:2] == marks[0][0][:2] for _, t in added) else None
+        suffix = json.loads(vocab)["model"].get("end_of_word_suffix")
+        known = self.tok.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(known.values()) + 1, bool) if suffix else None
+        if suffix:
+            self.closes[[i for t, i in known.items() if t.endswith(suffix)]] = True
         self.memo: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word. Words that cannot hold an added token go to the library as one
-        text with an added token between them, which it matches before all else."""
-        plain = [w for w in words if self.between is not None and self.between[0][:2] not in w]
+        """Ids of each word. Words of Latin letters are one piece each, whose last id alone
+        is one that ends a word: they go to the library as one text with blanks between
+        them. Others that cannot hold an added token go as one text with an added token
+        between them, which it matches before all else."""
         out = {}
+        latin = [w for w in words if _ONE_PIECE(w.decode())] if self.closes is not None else []
+        if latin:
+            raw = array("I", self.tok.encode_batch_fast([b" ".join(latin).decode()], add_special_tokens=False)[0].ids)
+            ends = np.flatnonzero(self.closes[np.frombuffer(raw, np.uint32)]) + 1
+            if len(ends) == len(latin) and ends[-1] == len(raw):
+                data, ends = raw.tobytes(), (4 * ends).tolist()
+                out = {w: data[lo:hi] for w, lo, hi in zip(latin, [0, *ends], ends)}  # noqa: B905
+        plain = [w for w in words if w not in out and self.between is not None and self.between[0][:2] not in w]
         if plain:
             text, mark = self.between
             raw = array("I", self.tok.encode_batch_fast([text.join(plain).decode()], add_special_tokens=False)[0].ids)
@@ -85,43 +105,72 @@ class WordIds:
         return [out[w] for w in words]
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """(stem, tail): the tail is ASCII punctuation after a Latin letter or digit."""
-        stem = word.rstrip(_TAIL)
-        if not stem or len(stem) == len(word):
-            return word, b""
-        last = stem[-3:].decode(errors="ignore")[-1:]
-        return (stem, word[len(stem) :]) if last < "\u0250" and last.isalnum() else (word, b"")
+    def _stem_ends(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where the stem of each stretch ends: before closing ASCII punctuation that
+        follows a Latin letter or digit, else at the stretch's end."""
+        out = end.copy()
+        some = np.flatnonzero(_IS_TAIL[buf[end - 1]])
+        cut = end[some] - 1
+        for _ in range(8):
+            more = np.flatnonzero((cut > start[some]) & _IS_TAIL[buf[cut - 1]])
+            if not len(more):
+                break
+            cut[more] -= 1
+        else:  # long runs, one by one
+            for i in more:
+                s = start[some[i]]
+                cut[i] = s + len(buf[s : cut[i]].tobytes().rstrip(_TAIL))
+        last, lead = buf[cut - 1].astype(np.int64), buf[np.maximum(cut - 2, 0)].astype(np.int64)
+        two = (last >= 0x80) & (lead >= 0xC2) & (lead < 0xE0)
+        char = np.where(two, (lead & 0x1F) << 6 | last & 0x3F, last)
+        latin = (cut > start[some]) & (two | (last < 0x80)) & (char < 0x250) & _IS_ALNUM[np.minimum(char, 0x24F)]
+        out[some[latin]] = cut[latin]
+        return out
 
     def ids(self, text: bytes) -> bytes:
         return next(self.ids_of([text]))
 
     def ids_of(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text; the words of all ``texts`` that the memo lacks are encoded in one call."""
-        memo, stems = self.memo, self.stems
+        memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        if len(stems) > MEMO_STEMS:
-            stems.clear()
-        split = [self._words(t) for t in texts]
-        known = [list(map(memo.get, words)) for words in split]
-        new = {w: self._parts(w) for words, ids in zip(split, known, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
-        want = [p for p in {p for parts in new.values() for p in parts} if p and p not in stems]
-        fresh = dict(zip(want, self._encode(want), strict=True)) if want else {}
-        fresh[b""] = b""
-        for w, (stem, tail) in new.items():
-            new[w] = (fresh[stem] if stem in fresh else stems[stem]) + (fresh[tail] if tail in fresh else stems[tail])
-        stems.update((s, i) for s, i in fresh.items() if len(s) <= MEMO_WORD_BYTES)
-        memo.update((w, i) for w, i in new.items() if len(w) <= MEMO_WORD_BYTES)
-        for words, ids in zip(split, known, strict=True):
-            yield b"".join([new[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids)
+        lowered = [self._lowered(t) for t in texts]
+        joined = b"".join(x for t in lowered for x in (t, b"\n"))
+        buf = np.frombuffer(joined, np.uint8)
+        blank = _IS_BLANK[buf]
+        start = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+        end = np.flatnonzero(blank & ~np.concatenate([[True], blank[:-1]]))
+        stem = self._stem_ends(buf, start, end)
+        closed = stem < end
+        at = np.arange(len(start)) + np.cumsum(closed) - closed
+        first = np.empty(len(start) + int(closed.sum()), np.int64)
+        first[at], first[at[closed] + 1] = start, stem[closed]
+        size = np.empty(len(first) + 1, np.int64)
+        size[0], size[at + 1], size[at[closed] + 2] = 0, stem - start, (end - stem)[closed]
+        places = pa.py_buffer(np.cumsum(size))
+        parts = pa.Array.from_buffers(pa.large_binary(), len(first), [None, places, pa.py_buffer(joined.translate(None, _BLANKS))]).dictionary_encode()
+        words = parts.dictionary.to_pylist()
+        found = list(map(memo.get, words))
+        new = [w for w, i in zip(words, found, strict=True) if i is None]
+        if new:
+            fresh = dict(zip(new, self._encode(new), strict=True))
+            found = [fresh[w] if i is None else i for w, i in zip(words, found, strict=True)]
+            memo.update((w, i) for w, i in fresh.items() if len(w) <= MEMO_WORD_BYTES)
+        ids = pa.array(found, pa.large_binary()).take(parts.indices)
+        _, ends, data = ids.buffers()
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)])
+        cuts = np.frombuffer(ends, np.int64, len(ids) + 1)[np.searchsorted(first, begin)].tolist() if len(ids) else [0] * len(begin)
+        held = memoryview(data) if data is not None else b""
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield bytes(held[lo:hi])
 
     @staticmethod
-    def _words(text: bytes) -> list[bytes]:
-        words = text.lower().split()  # of bytes: A-Z; space, \t, \n, \r, \x0b, \f
+    def _lowered(text: bytes) -> bytes:
+        low = text.lower()  # of bytes: A-Z
         if b"<|" in text:
-            words = [raw if b"<|" in raw else w for raw, w in zip(text.split(), words, strict=True)]
-        return words
+            low = b" ".join([raw if b"<|" in raw else w for raw, w in zip(text.split(), low.split(), strict=True)])
+        return low
 
 
 _IDS: dict[str, WordIds] = {}
@@ -142,7 +191,7 @@ def cut_documents(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: s
         if enc is None:
             enc = _IDS[vocab_path] = WordIds(vocab.value)
         end = END_ID.to_bytes(4, "little")
-        for part, texts in chunks(batches, "_text"):
+        for part, texts in chunks(batches, "_text", 4_000_000):
             row, start, length, crc, total, pieces = [], [], [], [], [], []
             for i, ids in enumerate(enc.ids_of(texts)):
                 ids += end

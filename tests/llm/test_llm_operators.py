@@ -106,6 +106,33 @@ def test_added_tokens_get_the_ids_of_the_library():
     assert 49407 in np.frombuffer(mine.ids(texts[0].encode()), "<u4") and 49407 not in np.frombuffer(mine.ids(texts[2].encode()), "<u4")
 
 
+def test_many_texts_at_once_get_the_ids_of_the_library():
+    tok, mine = Tokenizer.from_file(WORDS), packing.WordIds(open(WORDS, encoding="utf-8").read())
+    rng = random.Random(3)
+    alphabet = "abé.,;'-(1ßɐ一\u0301 \n\x0b\u0085<|Aİ"
+    texts = ["", " ", "İ. x", "İstanbul, İ!", "a" + "." * 40, "." * 40 + " b", "\x0b\x0c a\tb\r\n", *("".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(3000))]
+    for found, text in zip(mine.ids_of([t.encode() for t in texts]), texts, strict=True):
+        assert list(np.frombuffer(found, "<u4")) == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_word_is_encoded_once_whatever_closes_it():
+    mine = packing.WordIds(open(WORDS, encoding="utf-8").read())
+    tok, sent = mine.tok, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return tok.encode_batch_fast(texts, **more)
+
+    mine.tok = Counted()
+    words = ["plain", "words", "été", "straße"]
+    list(mine.ids_of([" ".join(w + e for w in words for e in ("", ".", ",", "?!")).encode()] * 50))
+    assert sorted(" ".join(t for t in sent if t[0].isalpha()).split()) == sorted(words)  # blanks between them, nothing else
+    sent.clear()
+    list(mine.ids_of(["été, plain? words!".encode()]))
+    assert not any(w in t for w in words for t in sent)  # only closings that are new
+
+
 def test_packing_covers_every_id_once(spark):
     tok = Tokenizer.from_file(WORDS)
     rows = DIRTY + [(100 + i, "some more words here " * (i * 7 % 90 + 1)) for i in range(200)]
