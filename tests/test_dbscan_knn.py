@@ -418,3 +418,20 @@ def test_dbscan_copies_a_row_to_few_loads(spark):
         want, core = brute_dbscan(X, np.arange(len(X)), eps[e], 4)
         got = {r["idx"]: (r["cluster"], r["is_core"]) for r in _labelled(found, found.setting(e, 0), "idx").collect()}
         assert got == {i: (want[i], core[i]) for i in range(len(X))}
+
+
+def test_distance_tiles_are_small_and_exact():
+    """Every pair once, in tiles of bounded size; equal and nearly equal rows far from the
+    origin get their distance from differences."""
+    from tablight.functions.tiles import distance_tiles
+
+    rng = np.random.default_rng(21)
+    H, C = rng.normal(size=(300, 5)) + 1e3, rng.normal(size=(2500, 5)) + 1e3
+    C[:200], C[200] = H[:200], H[0] + 1e-9
+    got = np.full((300, 2500), np.nan)
+    for r, s, d in distance_tiles(H, C):
+        assert d.size <= 128 * 1024 and np.isnan(got[r : r + len(d), s : s + d.shape[1]]).all()
+        got[r : r + len(d), s : s + d.shape[1]] = d
+    want = np.sqrt(((H[:, None, :] - C[None, :, :]) ** 2).sum(axis=2))
+    assert np.abs(got - want).max() < 1e-7 and (got[np.arange(200), np.arange(200)] == 0).all()
+    assert got[0, 200] == pytest.approx(want[0, 200], rel=1e-12)
