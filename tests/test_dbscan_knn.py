@@ -435,3 +435,25 @@ def test_distance_tiles_are_small_and_exact():
     want = np.sqrt(((H[:, None, :] - C[None, :, :]) ** 2).sum(axis=2))
     assert np.abs(got - want).max() < 1e-7 and (got[np.arange(200), np.arange(200)] == 0).all()
     assert got[0, 200] == pytest.approx(want[0, 200], rel=1e-12)
+
+
+def test_orders_of_dbscan_share_one_pass_over_the_pairs(spark, monkeypatch):
+    """Labels of every order are those of a run of its own on rows with that order as key;
+    the pairs are met once for all seeds."""
+    from tablight.operators import cluster
+    from tablight.operators import dbscan as module
+
+    passes, own = [], module.make_tiles
+    monkeypatch.setattr(module, "make_tiles", lambda *a: passes.append(1) or own(*a))
+    X, keys = _points(d=2, seed=23)
+    df = spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(keys, X)], "row_id long, features array<double>")
+    orders = [F.xxhash64(F.lit(s), F.col("row_id")) for s in (0, 1)]
+    for order, found in zip(orders, module.dbscan_orders(df, 0.5, 4, orders, block_rows=40)):
+        got = {r["row_id"]: (r["cluster"], r["is_core"]) for r in module._labelled(found, 0, "row_id").collect()}
+        alone = dbscan(df.withColumn("_order", order), 0.5, 4, "features", "_order", block_rows=40)
+        want = {r["_order"]: (r["cluster"], r["is_core"]) for r in alone.collect()}
+        place = {r["row_id"]: r["o"] for r in df.select("row_id", order.alias("o")).collect()}
+        assert len(got) == len(keys) and all(got[k] == want[place[k]] for k in got)
+    passes.clear()
+    assert cluster.dbscan_stability(df, 0.5, 4, [0, 1, 2]) == 0.0
+    assert len(passes) == 1
